@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from marlstone.functions import text as tx
 from marlstone.functions import vector as vx
@@ -113,6 +114,10 @@ def nearest(corpus: DataFrame, queries: DataFrame, k: int = 5, *, id_col: str =
     return top_k(best, k, F.col("score").desc(), F.col(id_col).asc())
 
 
+def _table(best: _Best, arrow: pa.Schema) -> pa.Table:
+    return pa.table([pa.array(c).cast(f.type) for c, f in zip(best.columns(), arrow)], schema=arrow)
+
+
 def _ids(values) -> np.ndarray:
     out = np.asarray(values)
     return out.astype(str) if out.dtype == object else out
@@ -124,15 +129,13 @@ def _broadcast_search(rows: DataFrame, block: list, schema: T.StructType, id_col
         return rows.sparkSession.createDataFrame([], schema)
     query_ids = _ids([r["query_id"] for r in block])
     matrix = np.array([r["_q"] for r in block], dtype=np.float64)
-    names = schema.names
+    arrow = to_arrow_schema(schema)
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(query_ids, matrix, k, cosine, skip_self)
         for batch in batches:
             best.add(_ids(batch.column(0).to_numpy(zero_copy_only=False)), _matrix(batch.column(1)))
-        q, i, s = best.columns()
-        if len(q):
-            yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(i), pa.array(s)], names=names)
+        yield from _table(best, arrow).to_batches()
 
     return rows.mapInArrow(scan, schema)
 
@@ -147,15 +150,14 @@ def _tiled_search(rows: DataFrame, asked: DataFrame, schema: T.StructType, id_co
         "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long"))
     right = asked.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).withColumn(
         "_tile", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).cast("long"))
-    names = schema.names
+    arrow = to_arrow_schema(schema)
 
     def meet(corpus_part: pa.Table, query_part: pa.Table) -> pa.Table:
         if not corpus_part.num_rows or not query_part.num_rows:
-            return pa.table({"query_id": query_part["query_id"].slice(0, 0),
-                             id_col: corpus_part[id_col].slice(0, 0), "score": pa.array([], pa.float64())})
+            return arrow.empty_table()
         best = _Best(_ids(query_part["query_id"].to_numpy()), _matrix(query_part["_q"]), k, cosine, skip_self)
         best.add(_ids(corpus_part[id_col].to_numpy()), _matrix(corpus_part["_v"]))
-        return pa.table(dict(zip(names, map(pa.array, best.columns()))))
+        return _table(best, arrow)
 
     return left.groupBy(*place).cogroup(right.groupBy(*place)).applyInArrow(meet, schema)
 

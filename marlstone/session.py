@@ -53,3 +53,14 @@ def staged(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/marlstone-staged/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores when they come from fewer tasks than there are cores.
+
+    For tables of a few files in front of heavy work per row. A table with at
+    least as many input splits as cores is left as it is, so a large one is
+    never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
