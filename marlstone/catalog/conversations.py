@@ -70,7 +70,9 @@ def assistant_answers(spark, sf):
     year = F.concat("text", F.lit(" 20"), F.lpad((F.col("query_id") % 5).cast("string"), 2, "0"))
     asked = asked.withColumn("text", F.concat(year, F.lit(" nl_"), "query_id"))
     funds = cm._dim(spark, sf).withColumn("fund_id", F.concat(F.lit("NL_"), "fund_id"))
-    metrics = cm.stg_funds(spark, sf).withColumn("fund_id", F.concat(F.lit("NL_"), "fund_id"))
+    metrics = cm.stg_funds(spark, sf).select(
+        F.concat(F.lit("NL_"), "fund_id").alias("fund_id"), (F.col("reporting_year") + 5).alias("reporting_year"),
+        "coverage_ratio_pct")
     chunks = cr.EMBEDDER.encode(cr.corpus(spark, sf), "content")
     return assistant.answer_messages(asked, chunks=chunks, embedder=cr.EMBEDDER, nodes=cg.nodes(spark, sf),
                                      edges=cg.edges(spark, sf), funds=funds, metrics=metrics, routes=ROUTES)
@@ -81,9 +83,11 @@ QUERIES = {f.__name__: f for f in (
     prompt_assembly, assistant_answers)}
 
 
+_EDGE = "[^\\p{L}\\p{N}\\p{M}_]"
+
+
 def _word(words: str, text: str = "text") -> str:
-    edge = "[^\\p{L}\\p{N}\\p{M}_]"
-    return f"regexp_matches({text}, '(?i)(^|{edge})({words})($|{edge})')"
+    return f"regexp_matches({text}, '(?i)(^|{_EDGE})({words})($|{_EDGE})')"
 
 
 def route_sql(text: str = "text") -> str:
@@ -123,6 +127,40 @@ SELECT conv_id, turn, needs_citation,
   md5(CASE WHEN needs_citation THEN t || chr(10) || chr(10) || 'Sources: A' ELSE t END) AS text_md5 FROM f""",
     "last_user_message": f"WITH {_LAST} SELECT conv_id, text FROM last_user",
     "conversation_state": f"WITH {STATE_SQL} SELECT * FROM state",
+    "assistant_answers": f"""
+WITH {cm._FUNDS}, {cg._NODES}, {cg._EDGES}, {cg._WAYS}, {_LAST},
+said AS (SELECT conv_id AS query_id, conv_id % 5 + 2000 AS year, 'NL_' || conv_id AS fund_id,
+  text || ' 20' || lpad((conv_id % 5)::VARCHAR, 2, '0') || ' nl_' || conv_id AS text FROM last_user),
+way AS (SELECT *, {route_sql()} AS route FROM said),
+rag AS (SELECT query_id, text FROM way WHERE route = 'rag_retrieval'),
+{counts_sql('vd', '(SELECT doc_id AS chunk_id, text FROM documents)', 'chunk_id', 'text')},
+{counts_sql('vq', 'rag', 'query_id', 'text')},
+dots AS (SELECT query_id, chunk_id, sum(vd.c * vq.c) AS d FROM vd JOIN vq ON vd.p = vq.p GROUP BY ALL),
+scores AS (SELECT r.query_id, doc_id AS chunk_id, source, documents.text AS body,
+    round(coalesce(d / (vd_norm.n * vq_norm.n), 0), 9) AS score
+  FROM rag r CROSS JOIN documents LEFT JOIN dots ON dots.query_id = r.query_id AND dots.chunk_id = doc_id
+  LEFT JOIN vd_norm ON vd_norm.chunk_id = doc_id LEFT JOIN vq_norm ON vq_norm.query_id = r.query_id),
+top AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM scores
+  QUALIFY rank <= 4),
+asked AS (SELECT query_id, coalesce(nullif(regexp_extract(text,
+    '(^|{_EDGE})([A-Z][a-zA-Z]+(?:\\s[A-Z][a-zA-Z]+)*)($|{_EDGE})', 2), ''),
+    substring(text, 1, 60)) AS entity FROM way WHERE route = 'graph_query'),
+{cg._ASKED}
+SELECT query_id, 'rag_retrieval' AS route, string_agg('[' || source || ']' || chr(10) || body,
+  chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank) AS context FROM top GROUP BY query_id
+UNION ALL
+SELECT query_id, route, CASE WHEN stg.fund_id IS NULL
+    THEN 'No data found for fund \'\'' || w.fund_id || '\'\' in year ' || w.year || '.'
+    ELSE '{{"fund_id":"' || w.fund_id || '","fund_name":"' || stg.fund_name || '","year":' || w.year
+      || ',"coverage_ratio_pct":' || coverage_ratio_pct || '}}' END
+FROM way w LEFT JOIN stg ON 'NL_' || stg.fund_id = w.fund_id AND stg.reporting_year + 5 = w.year
+WHERE route = 'sql_query'
+UNION ALL
+SELECT q.query_id, 'graph_query', coalesce(string_agg('- ' || coalesce(f.name, '?') || ' (' || f.type || ') ['
+  || f.relationship || ' / ' || f.direction || ']', chr(10) ORDER BY f.rank), '- ? (?) [? / ?]')
+FROM asked q LEFT JOIN found f ON f.query_id = q.query_id GROUP BY q.query_id
+UNION ALL SELECT query_id, route, 'HUMAN_REVIEW_REQUESTED' FROM way WHERE route = 'human_checkpoint'
+""",
     "prompt_assembly": f"""
 WITH {STATE_SQL}
 SELECT conv_id, 0::BIGINT AS position, 'system' AS role, '{SYSTEM}' AS content FROM state

@@ -1,14 +1,12 @@
 """Exact nearest neighbours by dot product or cosine.
 
-A task multiplies its Arrow batches with the query vectors and keeps ``k`` rows
-per query while it reads, so only ``k`` rows per query and task are shuffled.
-Scores are rounded to 9 digits before ranking: equal vectors must tie although
+A task multiplies its Arrow batches with the query vectors; see ``scan``. Scores are rounded to 9 digits before ranking: equal vectors must tie although
 the last bits of a matrix product depend on the place inside the batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +19,12 @@ from marlstone.functions import text as tx
 from marlstone.functions import vector as vx
 from marlstone.operators.embedding import Embedder
 from marlstone.operators.ranking import top_k
+from marlstone.operators.scan import TopRows, as_ids, hit_schema, scan_top_k
 
 # Most query vectors that are sent to every task; larger query tables are joined.
 QUERY_BLOCK = 4096
 # Corpus rows per tile when both sides are large.
 TILE_ROWS = 20_000
-# Scores held at one time inside a task.
-SCORE_CELLS = 4_000_000
 
 
 def _matrix(lists) -> np.ndarray:
@@ -46,50 +43,6 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return matrix / size[:, None]
 
 
-class _Best:
-    """The best ``k`` corpus rows per query seen so far; ties go to the smaller id."""
-
-    def __init__(self, query_ids: np.ndarray, queries: np.ndarray, k: int, cosine: bool, skip_self: bool):
-        self.query_ids, self.k, self.cosine, self.skip_self = query_ids, k, cosine, skip_self
-        self.queries = _unit(queries) if cosine else queries
-        self.worst = np.full(len(query_ids), -np.inf)
-        self.found: list[tuple[np.ndarray, np.ndarray]] = [(np.array([]), np.array([]))] * len(query_ids)
-
-    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        step = max(1, SCORE_CELLS // max(1, len(self.query_ids)))
-        for at in range(0, len(ids), step):
-            self._add_part(ids[at:at + step], vectors[at:at + step])
-
-    def _add_part(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        vectors = _unit(vectors) if self.cosine else vectors
-        scores = np.round(self.queries @ vectors.T, 9)
-        for q in np.nonzero(scores.max(axis=1) >= self.worst)[0]:
-            row = scores[q]
-            keep = np.nonzero(row >= self.worst[q])[0]
-            if self.skip_self:
-                keep = keep[ids[keep] != self.query_ids[q]]
-            if len(keep) > self.k:
-                line = row[keep]
-                keep = keep[line >= np.partition(line, -self.k)[-self.k]]
-            best_ids, best = self.found[q]
-            all_ids = np.concatenate([best_ids, ids[keep]]) if len(best) else ids[keep]
-            all_scores = np.concatenate([best, row[keep]])
-            order = np.lexsort((all_ids, -all_scores))[: self.k]
-            self.found[q] = (all_ids[order], all_scores[order])
-            if len(order) == self.k:
-                self.worst[q] = all_scores[order[-1]]
-
-    def columns(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        sizes = [len(i) for i, _ in self.found]
-        if not sum(sizes):
-            return np.array([]), np.array([]), np.array([])
-        return (
-            np.repeat(self.query_ids, sizes),
-            np.concatenate([i for i, s in self.found if len(i)]),
-            np.concatenate([s for i, s in self.found if len(i)]),
-        )
-
-
 def nearest(corpus: DataFrame, queries: DataFrame, k: int = 5, *, id_col: str = "chunk_id",
             vector: str = "embedding", query_vector: str = "embedding", metric: str = "dot",
             skip_self: bool = False) -> DataFrame:
@@ -102,47 +55,29 @@ def nearest(corpus: DataFrame, queries: DataFrame, k: int = 5, *, id_col: str =
         raise ValueError("metric must be 'dot' or 'cosine'")
     rows = corpus.select(F.col(id_col), F.col(vector).alias("_v")).filter(F.col("_v").isNotNull())
     asked = queries.select("query_id", F.col(query_vector).alias("_q")).filter(F.col("_q").isNotNull())
-    schema = T.StructType([
-        T.StructField("query_id", asked.schema["query_id"].dataType),
-        T.StructField(id_col, rows.schema[id_col].dataType),
-        T.StructField("score", T.DoubleType()),
-    ])
+    schema = hit_schema(asked.schema["query_id"].dataType, id_col, rows.schema[id_col].dataType)
     block = asked.limit(QUERY_BLOCK + 1).collect()
-    search = _broadcast_search if len(block) <= QUERY_BLOCK else _tiled_search
-    best = search(rows, block if search is _broadcast_search else asked, schema, id_col, k,
-                  metric == "cosine", skip_self)
-    return top_k(best, k, F.col("score").desc(), F.col(id_col).asc())
-
-
-def _table(best: _Best, arrow: pa.Schema) -> pa.Table:
-    return pa.table([pa.array(c).cast(f.type) for c, f in zip(best.columns(), arrow)], schema=arrow)
+    if len(block) > QUERY_BLOCK:
+        best = _tiled_search(rows, asked, schema, k, metric == "cosine", skip_self)
+        return top_k(best, k, F.col("score").desc(), F.col(id_col).asc())
+    score = _scorer(np.array([r["_q"] for r in block], dtype=np.float64), metric == "cosine")
+    return scan_top_k(rows, schema, as_ids([r["query_id"] for r in block]), k,
+                      lambda batch: score(_matrix(batch.column(1))), skip_self)
 
 
-def _ids(values) -> np.ndarray:
-    out = np.asarray(values)
-    return out.astype(str) if out.dtype == object else out
-
-
-def _broadcast_search(rows: DataFrame, block: list, schema: T.StructType, id_col: str, k: int,
-                      cosine: bool, skip_self: bool) -> DataFrame:
-    if not block:
-        return rows.sparkSession.createDataFrame([], schema)
-    query_ids = _ids([r["query_id"] for r in block])
-    matrix = np.array([r["_q"] for r in block], dtype=np.float64)
-    arrow = to_arrow_schema(schema)
+def _scorer(queries: np.ndarray, cosine: bool) -> Callable[[np.ndarray], np.ndarray]:
+    queries = _unit(queries) if cosine and len(queries) else queries
 
-    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Best(query_ids, matrix, k, cosine, skip_self)
-        for batch in batches:
-            best.add(_ids(batch.column(0).to_numpy(zero_copy_only=False)), _matrix(batch.column(1)))
-        yield from _table(best, arrow).to_batches()
+    def score(vectors: np.ndarray) -> np.ndarray:
+        return np.round(queries @ (_unit(vectors) if cosine else vectors).T, 9)
 
-    return rows.mapInArrow(scan, schema)
+    return score
 
 
-def _tiled_search(rows: DataFrame, asked: DataFrame, schema: T.StructType, id_col: str, k: int,
-                  cosine: bool, skip_self: bool) -> DataFrame:
-    """Both sides large: tiles of the corpus meet blocks of the queries, ``k`` rows leave each meeting."""
+def _tiled_search(rows: DataFrame, asked: DataFrame, schema: T.StructType, k: int, cosine: bool,
+                  skip_self: bool) -> DataFrame:
+    """Both sides large: tiles of the corpus meet blocks of the queries, ``k`` rows per query leave each meeting."""
+    id_col = schema.names[1]
     tiles = max(1, -(-rows.count() // TILE_ROWS))
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     place = ["_tile", "_block"]
@@ -155,9 +90,12 @@ def _tiled_search(rows: DataFrame, asked: DataFrame, schema: T.StructType, id_co
     def meet(corpus_part: pa.Table, query_part: pa.Table) -> pa.Table:
         if not corpus_part.num_rows or not query_part.num_rows:
             return arrow.empty_table()
-        best = _Best(_ids(query_part["query_id"].to_numpy()), _matrix(query_part["_q"]), k, cosine, skip_self)
-        best.add(_ids(corpus_part[id_col].to_numpy()), _matrix(corpus_part["_v"]))
-        return _table(best, arrow)
+        best = TopRows(as_ids(query_part["query_id"].to_numpy()), k, skip_self)
+        score = _scorer(_matrix(query_part["_q"]), cosine)
+        ids, vectors = as_ids(corpus_part[id_col].to_numpy()), _matrix(corpus_part["_v"])
+        for at in range(0, len(ids), best.step()):
+            best.offer(ids[at:at + best.step()], score(vectors[at:at + best.step()]))
+        return best.table(arrow)
 
     return left.groupBy(*place).cogroup(right.groupBy(*place)).applyInArrow(meet, schema)
 

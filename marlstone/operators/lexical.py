@@ -1,24 +1,34 @@
 """BM25 and keyword search.
 
-The index is two tables: ``postings(term, chunk_id, dl, tf)`` and one row of
-corpus statistics. A query batch touches only the postings of its own terms;
-Catalyst moves that semi-join below the aggregation, so with an index that was
-not stored only the tokens the queries ask for are counted and shuffled.
+A bounded batch of queries is answered by two passes over the corpus: document
+frequencies of the query terms, then scoring inside each task (see ``scan``).
+Nothing but those frequencies and ``k`` rows per query and task is shuffled.
+
+A stored index is two tables: ``postings(term, chunk_id, dl, tf)`` and one row
+of corpus statistics. With it, or with more queries than the bound, scoring is a
+join on the term: a batch touches only the postings of its own terms, and
+Catalyst moves that semi-join below the aggregation that makes the postings.
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.functions import text as tx
 from marlstone.operators.ranking import containment_pairs, pad_with_first, top_k
+from marlstone.operators.scan import NO_SCORE, as_ids, hit_schema, scan_top_k
 
 # The usual BM25 parameters and the share of the mean idf that
 # replaces a negative idf in the "okapi" variant.
 K1, B, OKAPI_EPSILON = 1.5, 0.75, 0.25
+# Most (query, term) rows and most queries that are sent to every task.
+TERM_BLOCK, QUERY_BLOCK = 200_000, 4096
 
 
 class LexicalIndex(NamedTuple):
@@ -92,21 +102,112 @@ def bm25_scores(index: LexicalIndex, queries: DataFrame, k1: float = K1, b: floa
     )
 
 
+class _TermMatrix:
+    """Weights by term and query in rows of terms: the query side of a scan."""
+
+    def __init__(self, rows: list[tuple], values: list[float]):
+        self.terms = sorted({r[1] for r in rows})
+        self.query_ids = sorted({r[0] for r in rows})
+        place = {t: i for i, t in enumerate(self.terms)}
+        column = {q: i for i, q in enumerate(self.query_ids)}
+        term = np.array([place[r[1]] for r in rows], dtype=np.int64)
+        order = np.argsort(term, kind="stable")
+        self.query = np.array([column[r[0]] for r in rows], dtype=np.int64)[order]
+        self.weight = np.array(values, dtype=np.float64)[order]
+        self.start = np.searchsorted(term[order], np.arange(len(self.terms) + 1))
+
+    def add_up(self, row: np.ndarray, term: np.ndarray, factor: np.ndarray, n_rows: int) -> np.ndarray:
+        """``scores[q, row]``: sum of ``factor * weight`` over the given (row, term) entries."""
+        sizes = self.start[term + 1] - self.start[term]
+        entry = np.repeat(np.arange(len(term)), sizes)
+        offset = np.arange(len(entry)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        at = self.start[term][entry] + offset
+        cell = self.query[at] * n_rows + row[entry]
+        shape = (len(self.query_ids), n_rows)
+        cells = shape[0] * shape[1]
+        total = np.bincount(cell, weights=factor[entry] * self.weight[at], minlength=cells)
+        total[np.bincount(cell, minlength=cells) == 0] = NO_SCORE
+        return np.round(total.reshape(shape), 9)
+
+
+def _list_lengths(lists: pa.Array) -> np.ndarray:
+    return np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+
+
+def _bounded_terms(queries: DataFrame, text: str) -> list[tuple] | None:
+    """``(query_id, term, qf)`` rows if they are few enough to be sent to every task."""
+    rows = query_terms(queries, text).limit(TERM_BLOCK + 1).collect()
+    if len(rows) > TERM_BLOCK or len({r["query_id"] for r in rows}) > QUERY_BLOCK:
+        return None
+    return [(r["query_id"], r["term"], r["qf"]) for r in rows]
+
+
+def _scan_bm25(corpus: DataFrame, rows: list[tuple], query_type, k: int, id_col: str, content: str, k1: float,
+               b: float, variant: str) -> DataFrame:
+    """One pass for the document frequencies of the asked terms, one for the scores."""
+    spark = corpus.sparkSession
+    cut = corpus.select(F.col(id_col).alias("chunk_id"), tx.tokens(content).alias("toks"))
+    # The empty word stands for "every chunk": its row carries the corpus totals.
+    asked = spark.createDataFrame([(t,) for t in {r[1] for r in rows} | {""}], "term string")
+    seen = cut.select(F.size("toks").alias("dl"), F.explode(
+        F.array_append(F.array_distinct("toks"), F.lit(""))).alias("term"))
+    counts = {r["term"]: r for r in seen.join(asked, "term", "left_semi").groupBy("term").agg(
+        F.count("*").alias("df"), F.sum("dl").alias("dl")).collect()}
+    n = counts[""]["df"] if "" in counts else 0
+    avgdl = counts[""]["dl"] / n if n else 1.0
+    rows = [r for r in rows if r[1] in counts]
+    df = np.array([counts[r[1]]["df"] for r in rows], dtype=np.float64)
+    odds = (n - df + 0.5) / (df + 0.5)
+    if variant == "plus_one":
+        idf = np.log(odds + 1)
+    else:
+        every = cut.select(F.explode(F.array_distinct("toks")).alias("t")).groupBy("t").agg(F.count("*").alias("df"))
+        log_odds = F.log((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+        mean_idf = every.agg(F.avg(log_odds).alias("m")).first()["m"]
+        idf = np.where(np.log(odds) < 0, OKAPI_EPSILON * (mean_idf or 0.0), np.log(odds))
+    matrix = _TermMatrix(rows, [r[2] * i for r, i in zip(rows, idf)])
+    vocabulary = pa.array(matrix.terms, pa.string())
+
+    def score(batch: pa.RecordBatch) -> np.ndarray:
+        lists = batch.column(1)
+        dl = _list_lengths(lists)
+        place = pc.index_in(lists.flatten(), value_set=vocabulary).fill_null(-1).to_numpy()
+        row = np.repeat(np.arange(len(dl)), dl)[place >= 0]
+        entry, tf = np.unique(row * len(vocabulary) + place[place >= 0], return_counts=True)
+        row, term = entry // len(vocabulary), entry % len(vocabulary)
+        factor = tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl[row] / avgdl))
+        return matrix.add_up(row, term, factor, len(dl))
+
+    schema = hit_schema(query_type, "chunk_id", cut.schema["chunk_id"].dataType)
+    if not rows:
+        return spark.createDataFrame([], schema).withColumn("rank", F.lit(0))
+    return scan_top_k(cut, schema, as_ids(matrix.query_ids), k, score)
+
+
 def bm25_search(corpus: DataFrame, queries: DataFrame, k: int = 20, *, index: LexicalIndex | None = None,
                 id_col: str = "chunk_id", content: str = "content", text: str = "text", pad: bool = False,
-                **scoring) -> DataFrame:
+                k1: float = K1, b: float = B, variant: str = "plus_one") -> DataFrame:
     """Top-k chunks per query; ``pad`` fills short lists with zero-score chunks in id order.
 
     Scores are compared at 9 digits, ties go to the smaller id.
     """
-    index = index or lexical_index(corpus, id_col, content)
-    hits = bm25_scores(index, queries, text=text, **scoring).withColumn("score", F.round("score", 9))
+    rows = _bounded_terms(queries, text) if index is None else None
+    if rows is not None:
+        hits = _scan_bm25(corpus, rows, queries.schema["query_id"].dataType, k, id_col, content, k1, b, variant)
+        hits = hits.drop("rank")
+    else:
+        index = index or lexical_index(corpus, id_col, content)
+        hits = bm25_scores(index, queries, k1, b, variant, text).withColumn("score", F.round("score", 9))
     if pad:
         ids = corpus.select(F.col(id_col).alias("chunk_id"))
         hits = pad_with_first(hits, queries, ids, k, "chunk_id", {"score": F.lit(0.0)})
     return top_k(hits, k, F.col("score").desc(), F.col("chunk_id").asc())
 
 
+def _joined_fields(fields: tuple[str, ...]):
+    return F.concat_ws(" ", *[F.coalesce(F.col(f), F.lit("")) for f in fields])
+
+
 def keyword_hits(corpus: DataFrame, queries: DataFrame, *, id_col: str = "chunk_id",
                  fields: tuple[str, ...] = ("content",), text: str = "text") -> DataFrame:
     """``(query_id, <id_col>, hits)``: how many distinct query words occur as substrings.
@@ -115,8 +216,7 @@ def keyword_hits(corpus: DataFrame, queries: DataFrame, *, id_col: str = "chunk_
     of the text's words. Rows without a hit are not listed.
     """
     asked = queries.select("query_id", F.explode(F.array_distinct(tx.tokens(text))).alias("word"))
-    whole = F.concat_ws(" ", *[F.coalesce(F.col(f), F.lit("")) for f in fields])
-    said = corpus.select(F.col(id_col), F.explode(F.array_distinct(tx.tokens(whole))).alias("said"))
+    said = corpus.select(F.col(id_col), F.explode(F.array_distinct(tx.tokens(_joined_fields(fields)))).alias("said"))
     found = containment_pairs(said, "said", asked.select("word").distinct(), "word")
     return (
         found.select(id_col, "word").distinct()
@@ -126,9 +226,48 @@ def keyword_hits(corpus: DataFrame, queries: DataFrame, *, id_col: str = "chunk_
     )
 
 
+def _contained(said: str, place: dict[str, int], lengths: list[int]) -> list[int]:
+    """Places of the query words that occur inside one word of a text."""
+    parts = {said[i:i + n] for n in lengths for i in range(len(said) - n + 1)}
+    return [place[p] for p in parts if p in place]
+
+
+def _scan_keywords(corpus: DataFrame, rows: list[tuple], query_type, k: int, id_col: str,
+                   fields: tuple[str, ...]) -> DataFrame:
+    cut = corpus.select(id_col, F.array_distinct(tx.tokens(_joined_fields(fields))).alias("said"))
+    matrix = _TermMatrix(rows, [1.0] * len(rows))
+    place = {t: i for i, t in enumerate(matrix.terms)}
+    lengths = sorted({len(t) for t in matrix.terms})
+
+    def score(batch: pa.RecordBatch) -> np.ndarray:
+        sizes = _list_lengths(batch.column(1))
+        coded = batch.column(1).flatten().dictionary_encode()
+        inside = [_contained(w, place, lengths) for w in coded.dictionary.to_pylist()]
+        counts = np.array([len(i) for i in inside], dtype=np.int64)
+        flat = np.array([p for i in inside for p in i], dtype=np.int64)
+        start = np.cumsum(counts) - counts
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        many = counts[code]
+        offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        term = flat[np.repeat(start[code], many) + offset] if len(flat) else flat
+        seen = np.zeros(len(sizes) * len(place), dtype=bool)
+        seen[np.repeat(row, many) * len(place) + term] = True
+        entry = np.nonzero(seen)[0]
+        return matrix.add_up(entry // len(place), entry % len(place), np.ones(len(entry)), len(sizes))
+
+    schema = hit_schema(query_type, id_col, cut.schema[id_col].dataType)
+    return scan_top_k(cut, schema, as_ids(matrix.query_ids), k, score)
+
+
 def keyword_search(corpus: DataFrame, queries: DataFrame, k: int = 5, *, id_col: str = "chunk_id",
                    fields: tuple[str, ...] = ("content",), text: str = "text") -> DataFrame:
     """Top-k by number of query words contained; rows without a hit fill up in id order."""
-    hits = keyword_hits(corpus, queries, id_col=id_col, fields=fields, text=text)
+    rows = _bounded_terms(queries, text)
+    if rows:
+        found = _scan_keywords(corpus, rows, queries.schema["query_id"].dataType, k, id_col, fields)
+        hits = found.select("query_id", id_col, F.col("score").cast("long").alias("hits"))
+    else:
+        hits = keyword_hits(corpus, queries, id_col=id_col, fields=fields, text=text)
     hits = pad_with_first(hits, queries, corpus, k, id_col, {"hits": F.lit(0).cast("long")})
     return top_k(hits, k, F.col("hits").desc(), F.col(id_col).asc())

@@ -19,8 +19,8 @@ def refresh(articles: DataFrame, build: Callable[[DataFrame], DataFrame], path:
     """Chunk and embed arriving documents with ``build``; the newest by ``order`` wins inside a batch."""
 
     def write(batch: DataFrame, number: int) -> None:
-        rest = [c for c in batch.columns if c != key]
-        newest = F.struct(*([order] if order else []), *rest)
+        rest = sorted((c for c in batch.columns if c != key), key=lambda c: c != order)
+        newest = F.struct(*rest)
         docs = batch.groupBy(key).agg(F.max(newest).alias("d")).select(key, *[f"d.{c}" for c in rest])
         build(docs).write.mode("overwrite").parquet(f"{path}/chunks/batch={number}")
         docs.select(key).write.mode("overwrite").parquet(f"{path}/docs/batch={number}")
