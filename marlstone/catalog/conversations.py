@@ -73,7 +73,7 @@ def assistant_answers(spark, sf):
     metrics = cm.stg_funds(spark, sf).select(
         F.concat(F.lit("NL_"), "fund_id").alias("fund_id"), (F.col("reporting_year") + 5).alias("reporting_year"),
         "coverage_ratio_pct")
-    chunks = cr.EMBEDDER.encode(cr.corpus(spark, sf), "content")
+    chunks = cr.embedded(spark, sf)
     return assistant.answer_messages(asked, chunks=chunks, embedder=cr.EMBEDDER, nodes=cg.nodes(spark, sf),
                                      edges=cg.edges(spark, sf), funds=funds, metrics=metrics, routes=ROUTES)
 

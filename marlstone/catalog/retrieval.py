@@ -25,7 +25,7 @@ def questions(spark, sf) -> DataFrame:
 
 
 def embedded(spark, sf) -> DataFrame:
-    return EMBEDDER.encode(corpus(spark, sf), "content")
+    return EMBEDDER.encode(corpus(spark, sf), "content", normalise=False)
 
 
 def bm25_stats(spark, sf):
@@ -150,7 +150,7 @@ def parents_of_hits(spark, sf):
 
 def chunk_search(spark, sf):
     """BM25 over fixed windows: the first thing to run."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents")).select("doc_id", "text")
     chunks = chunking.with_chunk_id(chunking.chunk_fixed(docs))
     return lexical.bm25_search(chunks, questions(spark, sf), 5)
 

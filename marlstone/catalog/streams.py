@@ -46,7 +46,7 @@ def incremental_index(spark, sf):
     folder = _work(spark)
     docs = table(spark, sf, "documents").select("doc_id", "text", F.lit(1).alias("version"))
     again = docs.filter(F.col("text").contains("License")).select(
-        "doc_id", F.upper("text").alias("text"), F.lit(2).alias("version"))
+        "doc_id", F.concat(F.lit("again "), "text").alias("text"), F.lit(2).alias("version"))
     embedder = HashingEmbedder(64)
     build = lambda d: embedder.encode(chunking.chunk_fixed(d), "content")
     for n, part in enumerate((docs, again)):
@@ -63,7 +63,7 @@ SQL = {
     "conversation_stream": f"WITH {STATE_SQL} SELECT * FROM state",
     "conversation_history": "SELECT conv_id, turn, role, text FROM conversations",
     "incremental_index": """
-WITH d AS (SELECT doc_id, CASE WHEN contains(text, 'License') THEN upper(text) ELSE text END AS text,
+WITH d AS (SELECT doc_id, CASE WHEN contains(text, 'License') THEN 'again ' || text ELSE text END AS text,
     CASE WHEN contains(text, 'License') THEN 2 ELSE 1 END AS version FROM documents),
 c AS (SELECT *, unnest(range(0, length(text), 450)) AS s FROM d)
 SELECT doc_id, CAST(s // 450 AS INTEGER) AS chunk_pos, version, substring(text, s + 1, 500) AS content,

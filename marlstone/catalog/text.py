@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from marlstone.catalog.base import place_sql, sentences_sql, table, tokens_sql, words_sql
 from marlstone.functions import text as tx
 from marlstone.operators import chunking, entities, profile
+from marlstone.session import spread
 
 
 def _docs(spark, sf) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return spread(table(spark, sf, "documents")).select("doc_id", "text")
 
 
 def category_counts(spark, sf):

@@ -19,7 +19,7 @@ from marlstone.functions import text as tx
 from marlstone.functions import vector as vx
 from marlstone.operators.embedding import Embedder
 from marlstone.operators.ranking import top_k
-from marlstone.operators.scan import TopRows, as_ids, hit_schema, scan_top_k
+from marlstone.operators.scan import NO_SCORE, TopRows, as_ids, hit_schema, scan_top_k
 
 # Most query vectors that are sent to every task; larger query tables are joined.
 QUERY_BLOCK = 4096
@@ -27,8 +27,7 @@ QUERY_BLOCK = 4096
 TILE_ROWS = 20_000
 
 
-def _matrix(lists) -> np.ndarray:
-    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+def _matrix(lists: pa.Array) -> np.ndarray:
     flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     if len(lists) == 0:
         return np.zeros((0, 0))
@@ -53,23 +52,29 @@ def nearest(corpus: DataFrame, queries: DataFrame, k: int = 5, *, id_col: str =
     """
     if metric not in ("dot", "cosine"):
         raise ValueError("metric must be 'dot' or 'cosine'")
-    rows = corpus.select(F.col(id_col), F.col(vector).alias("_v")).filter(F.col("_v").isNotNull())
-    asked = queries.select("query_id", F.col(query_vector).alias("_q")).filter(F.col("_q").isNotNull())
+    rows = corpus.select(F.col(id_col), F.col(vector).alias("_v"))
+    asked = queries.select("query_id", F.col(query_vector).alias("_q"))
     schema = hit_schema(asked.schema["query_id"].dataType, id_col, rows.schema[id_col].dataType)
     block = asked.limit(QUERY_BLOCK + 1).collect()
     if len(block) > QUERY_BLOCK:
         best = _tiled_search(rows, asked, schema, k, metric == "cosine", skip_self)
         return top_k(best, k, F.col("score").desc(), F.col(id_col).asc())
+    block = [r for r in block if r["_q"] is not None]
     score = _scorer(np.array([r["_q"] for r in block], dtype=np.float64), metric == "cosine")
     return scan_top_k(rows, schema, as_ids([r["query_id"] for r in block]), k,
-                      lambda batch: score(_matrix(batch.column(1))), skip_self)
+                      lambda batch: score(batch.column(1)), skip_self)
 
 
-def _scorer(queries: np.ndarray, cosine: bool) -> Callable[[np.ndarray], np.ndarray]:
+def _scorer(queries: np.ndarray, cosine: bool) -> Callable[[pa.Array], np.ndarray]:
     queries = _unit(queries) if cosine and len(queries) else queries
 
-    def score(vectors: np.ndarray) -> np.ndarray:
-        return np.round(queries @ (_unit(vectors) if cosine else vectors).T, 9)
+    def score(vectors: pa.Array) -> np.ndarray:
+        scores = np.full((len(queries), len(vectors)), NO_SCORE)
+        known = vectors.is_valid().to_numpy(zero_copy_only=False)
+        if len(queries) and known.any():
+            matrix = _matrix(vectors.drop_null())
+            scores[:, known] = np.round(queries @ (_unit(matrix) if cosine else matrix).T, 9)
+        return scores
 
     return score
 
@@ -90,9 +95,10 @@ def _tiled_search(rows: DataFrame, asked: DataFrame, schema: T.StructType, k: in
     def meet(corpus_part: pa.Table, query_part: pa.Table) -> pa.Table:
         if not corpus_part.num_rows or not query_part.num_rows:
             return arrow.empty_table()
+        query_part = query_part.filter(query_part["_q"].is_valid())
         best = TopRows(as_ids(query_part["query_id"].to_numpy()), k, skip_self)
-        score = _scorer(_matrix(query_part["_q"]), cosine)
-        ids, vectors = as_ids(corpus_part[id_col].to_numpy()), _matrix(corpus_part["_v"])
+        score = _scorer(_matrix(query_part["_q"].combine_chunks()), cosine)
+        ids, vectors = as_ids(corpus_part[id_col].to_numpy()), corpus_part["_v"].combine_chunks()
         for at in range(0, len(ids), best.step()):
             best.offer(ids[at:at + best.step()], score(vectors[at:at + best.step()]))
         return best.table(arrow)
@@ -136,7 +142,7 @@ def vector_search(chunks: DataFrame, queries: DataFrame, embedder: Embedder, k:
                   query_text: str = "text", prefix: str = "", id_col: str = "chunk_id") -> DataFrame:
     """Top-k over an embedded chunk table; ``prefix`` goes in front of the query text only."""
     asked = queries.withColumn("_asked", F.concat(F.lit(prefix), F.col(query_text)))
-    return nearest(chunks, embedder.encode(asked, "_asked"), k, id_col=id_col, metric="cosine")
+    return nearest(chunks, embedder.encode(asked, "_asked", normalise=False), k, id_col=id_col, metric="cosine")
 
 
 def neighbours_of(corpus: DataFrame, wanted: DataFrame, k: int = 5, *, id_col: str = "chunk_id",

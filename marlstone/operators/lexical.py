@@ -194,14 +194,15 @@ def bm25_search(corpus: DataFrame, queries: DataFrame, k: int = 20, *, index: Le
     rows = _bounded_terms(queries, text) if index is None else None
     if rows is not None:
         hits = _scan_bm25(corpus, rows, queries.schema["query_id"].dataType, k, id_col, content, k1, b, variant)
-        hits = hits.drop("rank")
     else:
         index = index or lexical_index(corpus, id_col, content)
-        hits = bm25_scores(index, queries, k1, b, variant, text).withColumn("score", F.round("score", 9))
-    if pad:
-        ids = corpus.select(F.col(id_col).alias("chunk_id"))
-        hits = pad_with_first(hits, queries, ids, k, "chunk_id", {"score": F.lit(0.0)})
-    return top_k(hits, k, F.col("score").desc(), F.col("chunk_id").asc())
+        scores = bm25_scores(index, queries, k1, b, variant, text).withColumn("score", F.round("score", 9))
+        hits = top_k(scores, k, F.col("score").desc(), F.col("chunk_id").asc())
+    if not pad:
+        return hits
+    ids = corpus.select(F.col(id_col).alias("chunk_id"))
+    padded = pad_with_first(hits, queries, ids, k, "chunk_id", "score")
+    return top_k(padded, k, F.col("score").desc(), F.col("chunk_id").asc())
 
 
 def _joined_fields(fields: tuple[str, ...]):
@@ -268,6 +269,7 @@ def keyword_search(corpus: DataFrame, queries: DataFrame, k: int = 5, *, id_col:
         found = _scan_keywords(corpus, rows, queries.schema["query_id"].dataType, k, id_col, fields)
         hits = found.select("query_id", id_col, F.col("score").cast("long").alias("hits"))
     else:
-        hits = keyword_hits(corpus, queries, id_col=id_col, fields=fields, text=text)
-    hits = pad_with_first(hits, queries, corpus, k, id_col, {"hits": F.lit(0).cast("long")})
-    return top_k(hits, k, F.col("hits").desc(), F.col(id_col).asc())
+        every = keyword_hits(corpus, queries, id_col=id_col, fields=fields, text=text)
+        hits = top_k(every, k, F.col("hits").desc(), F.col(id_col).asc())
+    padded = pad_with_first(hits, queries, corpus, k, id_col, "hits")
+    return top_k(padded, k, F.col("hits").desc(), F.col(id_col).asc())

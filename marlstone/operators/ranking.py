@@ -17,21 +17,20 @@ def top_k(scored: DataFrame, k: int | None, *order: Column, per: tuple[str, ...]
     return ranked if k is None else ranked.filter(F.col(rank) <= k)
 
 
-def pad_with_first(hits: DataFrame, queries: DataFrame, corpus: DataFrame, k: int, id_col: str,
-                   zero: dict[str, Column]) -> DataFrame:
-    """Add zero-score rows so that every query can fill ``k`` places.
+def pad_with_first(best: DataFrame, queries: DataFrame, corpus: DataFrame, k: int, id_col: str,
+                   value: str) -> DataFrame:
+    """Add zero-valued rows to the best ``k`` hits so that every query can fill ``k`` places.
 
-    Only a query with fewer than ``k`` hits has a zero-score row among its first
-    ``k``, and such a row is then one of the ``k`` smallest ids of the corpus. So
-    those ``k`` ids are all that must be offered, not the whole corpus.
+    Only a query with fewer than ``k`` hits has a zero row among its first ``k``,
+    and such a row is then one of the ``k`` smallest ids of the corpus. So those
+    ``k`` ids are all that must be offered, not the whole corpus.
     """
     first = corpus.select(id_col).orderBy(id_col).limit(k)
-    offered = queries.select("query_id").distinct().withColumn(
-        id_col, F.explode(first.agg(F.collect_list(id_col)).scalar()))
-    missing = offered.join(hits.select("query_id", id_col), ["query_id", id_col], "left_anti")
-    for name, value in zero.items():
-        missing = missing.withColumn(name, value)
-    return hits.unionByName(missing.select(hits.columns))
+    offered = queries.select("query_id").distinct().select(
+        "query_id", F.explode(first.agg(F.collect_list(id_col)).scalar()).alias(id_col),
+        F.lit(0).cast(best.schema[value].dataType).alias(value))
+    return best.select("query_id", id_col, value).unionByName(offered).groupBy("query_id", id_col).agg(
+        F.max(value).alias(value))
 
 
 def containment_pairs(haystacks: DataFrame, hay: str, needles: DataFrame, needle: str) -> DataFrame:

@@ -42,7 +42,7 @@ class TopRows:
 
     def offer(self, ids: np.ndarray, scores: np.ndarray) -> None:
         """``scores[q, row]``; ``NO_SCORE`` marks a row that is no hit of the query."""
-        if len(ids) == 0:
+        if scores.size == 0:
             return
         for q in np.nonzero(scores.max(axis=1) >= self.worst)[0]:
             row = scores[q]
