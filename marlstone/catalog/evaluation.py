@@ -10,6 +10,10 @@ from marlstone.catalog.base import table
 from marlstone.operators import evaluation as ev
 from marlstone.operators import fusion, lexical, rerank
 from marlstone.operators.embedding import HashingEmbedder
+from marlstone.session import stack
+
+
+METHODS = ["bm25", "vector", "hybrid"]
 
 
 def _golden(spark, sf) -> DataFrame:
@@ -22,19 +26,19 @@ def _methods(spark, sf) -> DataFrame:
     lists = r._two_lists(spark, sf)
     both = fusion.ranked_union(lists)
     fused = fusion.reciprocal_rank_fusion(both, keep=20)
-    every = both.unionByName(fusion.ranked_union({"hybrid": fused})).filter(F.col("rank") <= 5)
+    every = stack(both, fusion.ranked_union({"hybrid": fused})).filter(F.col("rank") <= 5)
     return fusion.with_text(every, r.corpus(spark, sf)).withColumnRenamed("ranker", "method")
 
 
 def recall_at_5(spark, sf):
-    return ev.recall_at_k(_methods(spark, sf), _golden(spark, sf))
+    return ev.recall_at_k(_methods(spark, sf), _golden(spark, sf), METHODS)
 
 
 def recall_exact(spark, sf):
     """The documents that hold a passage are its right answers, matched as whole texts."""
     held = fusion.with_text(_holders(spark, sf), r.corpus(spark, sf))
     golden = ev.in_corpus(held.select("query_id", F.col("content").alias("context")).distinct(), r.corpus(spark, sf))
-    return ev.recall_per_pair(_methods(spark, sf), golden, match="exact").groupBy("method").agg(
+    return ev.recall_per_pair(_methods(spark, sf), golden, METHODS, match="exact").groupBy("method").agg(
         F.sum("hit").alias("hits"), F.count("*").alias("pairs"))
 
 
@@ -44,16 +48,16 @@ def _before_after(spark, sf) -> DataFrame:
     short = fusion.with_text(fused, r.corpus(spark, sf)).join(r.questions(spark, sf), "query_id")
     after = rerank.rerank(short, rerank.CosineScorer(HashingEmbedder(64)), 5)
     pick = lambda df, m: df.select("query_id", F.lit(m).alias("method"), "rank", "content")
-    return pick(short, "fused").unionByName(pick(after, "reranked"))
+    return stack(pick(short, "fused"), pick(after, "reranked"))
 
 
 def mrr_at_5(spark, sf):
-    out = ev.mrr_at_k(_before_after(spark, sf), _golden(spark, sf))
+    out = ev.mrr_at_k(_before_after(spark, sf), _golden(spark, sf), ["fused", "reranked"])
     return out.withColumn("mrr", F.round("mrr", 6))
 
 
 def mrr_gain(spark, sf):
-    per_question = ev.reciprocal_ranks(_before_after(spark, sf), _golden(spark, sf))
+    per_question = ev.reciprocal_ranks(_before_after(spark, sf), _golden(spark, sf), ["fused", "reranked"])
     out = ev.mrr_gain(per_question, "fused", "reranked")
     return out.select(*[F.round(c, 6).alias(c) for c in ("mrr_before", "mrr_after", "improvement_pct")],
                       "improved", "degraded")

@@ -6,8 +6,6 @@ Customer LOCATED_IN Nation, Supplier SUPPLIES Part.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +14,12 @@ from marlstone.functions import text as tx
 from marlstone.operators import entities
 from marlstone.operators import graph as g
 from marlstone.plans.assistant import graph_context
+from marlstone.session import stack
 
 
 def nodes(spark, sf) -> DataFrame:
     t = lambda n: table(spark, sf, n)
-    return reduce(DataFrame.unionByName, [
+    return stack(*[
         g.make_nodes(t("region"), "Region", "r_regionkey", "r_name"),
         g.make_nodes(t("nation"), "Nation", "n_nationkey", "n_name"),
         g.make_nodes(t("customer"), "Customer", "c_custkey", "c_name", ["c_mktsegment"]),
@@ -40,7 +39,7 @@ def _edge(df: DataFrame, src: Column, rel: str, dst: Column) -> DataFrame:
 def edges(spark, sf) -> DataFrame:
     t = lambda n: table(spark, sf, n)
     supplies = t("lineitem").select("l_suppkey", "l_partkey").distinct()
-    return reduce(DataFrame.unionByName, [
+    return stack(*[
         _edge(t("nation"), _key("Region", "n_regionkey"), "CONTAINS", _key("Nation", "n_nationkey")),
         _edge(t("supplier"), _key("Nation", "s_nationkey"), "HOSTS", _key("Supplier", "s_suppkey")),
         _edge(t("supplier"), _key("Supplier", "s_suppkey"), "BASED_IN", _key("Nation", "s_nationkey")),
@@ -78,8 +77,8 @@ def graph_requirements_optional(spark, sf):
     e = edges(spark, sf)
     busy = e.filter(F.col("rel") == "LOCATED_IN").groupBy("dst").agg(F.count("*").alias("n")).filter(
         "n % 2 = 0").select(F.col("dst").alias("src"))
-    some = e.filter(F.col("rel") != "HOSTS").unionByName(
-        e.filter(F.col("rel") == "HOSTS").join(busy, "src", "left_semi").select("src", "rel", "dst"))
+    some = stack(e.filter(F.col("rel") != "HOSTS"),
+                 e.filter(F.col("rel") == "HOSTS").join(busy, "src", "left_semi").select("src", "rel", "dst"))
     out = g.requirements_for_fund(nodes(spark, sf), some, "blue bolt", optional_article=True, applies="SUPPLIES",
                                   requires="HOSTS")
     return out.groupBy("requirement", "article_id").agg(F.count("*").alias("n"))

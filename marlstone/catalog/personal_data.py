@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marlstone.catalog.base import table
 from marlstone.functions import text as tx
 from marlstone.operators import personal_data as pd_
-from marlstone.session import spread
+from marlstone.session import spread, stack
 
 
 def _accounts(spark, sf) -> DataFrame:
@@ -24,11 +24,10 @@ def _accounts(spark, sf) -> DataFrame:
 def _cells(spark, sf) -> DataFrame:
     docs = spread(table(spark, sf, "documents"))
     said = table(spark, sf, "conversations").withColumn("pos", F.col("conv_id") * 100000 + F.col("turn"))
-    return (
-        pd_.table_cells(docs, ["text", "source", "lang"], F.lit("documents"), F.col("doc_id"))
-        .unionByName(pd_.table_cells(said, ["text", "role"], F.lit("conversations"), F.col("pos")))
-        .unionByName(pd_.table_cells(_accounts(spark, sf), ["Counterparty_IBAN", "note"], F.lit("accounts"),
-                                     F.col("row_pos")))
+    return stack(
+        pd_.table_cells(docs, ["text", "source", "lang"], F.lit("documents"), F.col("doc_id")),
+        pd_.table_cells(said, ["text", "role"], F.lit("conversations"), F.col("pos")),
+        pd_.table_cells(_accounts(spark, sf), ["Counterparty_IBAN", "note"], F.lit("accounts"), F.col("row_pos")),
     )
 
 
@@ -60,7 +59,8 @@ def pii_names(spark, sf):
     """A listed-names detector over messages and account notes."""
     names = pd_.gazetteer("PERSON", ["Customer", "Étion dans", "Étion", "der einschtzch"])
     docs = spread(table(spark, sf, "documents"))
-    cells = pd_.table_cells(docs, ["text"], F.lit("documents"), F.col("doc_id")).unionByName(
+    cells = stack(
+        pd_.table_cells(docs, ["text"], F.lit("documents"), F.col("doc_id")),
         pd_.table_cells(table(spark, sf, "conversations"), ["text"], F.lit("conversations"), F.col("conv_id")))
     return pd_.column_findings(cells, (names,)).select("file_path", "entity_type", "row_count_with_pii", "allowed")
 

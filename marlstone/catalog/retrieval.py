@@ -10,7 +10,7 @@ from marlstone.operators import chunking, dense, evaluation, fusion, lexical
 from marlstone.operators import graph as g
 from marlstone.operators.embedding import HashingEmbedder
 from marlstone.plans import retrieval as plan
-from marlstone.session import spread
+from marlstone.session import spread, stack
 
 EMBEDDER = HashingEmbedder(64)
 
@@ -86,7 +86,7 @@ def ranker_compare(spark, sf):
     lists = _two_lists(spark, sf, 5)
     both = fusion.ranked_union(lists)
     fused = fusion.reciprocal_rank_fusion(both, keep=5)
-    every = both.unionByName(fusion.ranked_union({"hybrid": fused}))
+    every = stack(both, fusion.ranked_union({"hybrid": fused}))
     return fusion.side_by_side(every, ["bm25", "vector", "hybrid"], 5)
 
 
@@ -124,8 +124,8 @@ def source_graph(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Sources as articles that reference the languages they are written in."""
     docs = table(spark, sf, "documents")
     sources = docs.groupBy("source").agg(F.count("*").alias("summary")).withColumn("title", F.upper("source"))
-    nodes = g.make_nodes(sources, "Article", "source", None, ["title", "summary"]).unionByName(
-        g.make_nodes(docs.select("lang").distinct(), "Concept", None, "lang"))
+    nodes = stack(g.make_nodes(sources, "Article", "source", None, ["title", "summary"]),
+                  g.make_nodes(docs.select("lang").distinct(), "Concept", None, "lang"))
     edges = docs.select(F.concat(F.lit("Article:"), "source").alias("src"), F.lit("REFERENCES").alias("rel"),
                         F.concat(F.lit("Concept:"), "lang").alias("dst")).distinct()
     return nodes, edges

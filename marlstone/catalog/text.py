@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marlstone.catalog.base import place_sql, sentences_sql, table, tokens_sql, words_sql
 from marlstone.functions import text as tx
 from marlstone.operators import chunking, entities, profile
-from marlstone.session import spread
+from marlstone.session import spread, stack
 
 
 def _docs(spark, sf) -> DataFrame:
@@ -112,9 +112,9 @@ def entity_by_label(spark, sf):
 
 def domain_entities(spark, sf):
     """The domain dictionary over all documents and messages."""
-    texts = _docs(spark, sf).select(F.concat(F.lit("d"), "doc_id").alias("doc_id"), "text").unionByName(
-        table(spark, sf, "conversations").select(
-            F.concat_ws("_", F.lit("c"), "conv_id", "turn").alias("doc_id"), "text"))
+    said = table(spark, sf, "conversations").select(
+        F.concat_ws("_", F.lit("c"), "conv_id", "turn").alias("doc_id"), "text")
+    texts = stack(_docs(spark, sf).select(F.concat(F.lit("d"), "doc_id").alias("doc_id"), "text"), said)
     return entities.extract_entities(texts).groupBy("label", "text").agg(F.count("*").alias("mentions"))
 
 

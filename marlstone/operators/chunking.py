@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from marlstone.functions import text as tx
 from marlstone.operators.embedding import Embedder, HashingEmbedder
+from marlstone.session import stack
 
 # Separators of the recursive strategy, strongest first.
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
@@ -171,7 +172,7 @@ def chunk_markdown(docs: DataFrame, size: int = 500, overlap: int = 50, text: st
     headed = body.rlike(HEADER)
     with_headers = _explode(docs.filter(headed), sections, "markdown", text)
     plain = chunk_recursive(docs.filter(~headed), size, overlap, text)
-    return with_headers.unionByName(plain)
+    return stack(with_headers, plain)
 
 
 def chunk_parent_child(docs: DataFrame, parent_size: int = 1000, parent_overlap: int = 100,

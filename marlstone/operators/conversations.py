@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.functions import text as tx
+from marlstone.session import stack
 
 HUMAN, GRAPH, SQL, RAG = "human_checkpoint", "graph_query", "sql_query", "rag_retrieval"
 REVIEW_REQUESTED = "HUMAN_REVIEW_REQUESTED"
@@ -113,12 +114,12 @@ def assemble_prompts(messages: DataFrame, system: str, contexts: DataFrame | Non
     or when a review was requested), ``2 + turn`` the messages.
     """
     threads = messages.select("conv_id").distinct()
-    out = threads.select("conv_id", F.lit(0).cast("long").alias("position"), F.lit("system").alias("role"),
-                         F.lit(system).alias("content"))
+    parts = [threads.select("conv_id", F.lit(0).cast("long").alias("position"), F.lit("system").alias("role"),
+                         F.lit(system).alias("content"))]
     if contexts is not None:
         known = contexts.filter((F.coalesce("context", F.lit("")) != "") & (F.col("context") != REVIEW_REQUESTED))
-        out = out.unionByName(known.join(threads, "conv_id", "left_semi").select(
+        parts.append(known.join(threads, "conv_id", "left_semi").select(
             "conv_id", F.lit(1).cast("long").alias("position"), F.lit("system").alias("role"),
             F.concat(F.lit("Retrieved context:\n\n"), F.col("context")).alias("content")))
-    return out.unionByName(messages.select(
+    return stack(*parts, messages.select(
         "conv_id", (F.col("turn") + 2).cast("long").alias("position"), "role", F.col("text").alias("content")))

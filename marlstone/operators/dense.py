@@ -20,6 +20,7 @@ from marlstone.functions import vector as vx
 from marlstone.operators.embedding import Embedder
 from marlstone.operators.ranking import top_k
 from marlstone.operators.scan import NO_SCORE, TopRows, as_ids, hit_schema, scan_top_k
+from marlstone.session import stack
 
 # Most query vectors that are sent to every task; larger query tables are joined.
 QUERY_BLOCK = 4096
@@ -178,9 +179,9 @@ def with_fallback(semantic: DataFrame, keyword: DataFrame, min_score: float, min
     judged = score_confidence(semantic, depth).withColumn("low_confidence", low)
     unsure = judged.filter("low_confidence").select("query_id")
     both = ("query_id", "id", "rank")
-    return (
-        semantic.join(unsure, "query_id", "left_anti").select(*both, F.lit("semantic").alias("method"))
-        .unionByName(keyword.join(unsure, "query_id", "left_semi").select(*both, F.lit("keyword").alias("method")))
+    return stack(
+        semantic.join(unsure, "query_id", "left_anti").select(*both, F.lit("semantic").alias("method")),
+        keyword.join(unsure, "query_id", "left_semi").select(*both, F.lit("keyword").alias("method")),
     )
 
 

@@ -1,7 +1,8 @@
 """Scoring rankings and answers against a golden set.
 
 ``ranked`` has ``query_id, method, rank, content``; ``golden`` has one row per
-question and context: ``query_id, context``.
+question and context: ``query_id, context``. ``methods`` names the rankings, so
+that one without a single hit is reported too.
 """
 
 from __future__ import annotations
@@ -41,39 +42,41 @@ def in_corpus(pairs: DataFrame, corpus: DataFrame, content: str = "content") ->
     return pairs.join(corpus.select(F.col(content).alias("context")), "context", "left_semi")
 
 
-def recall_per_pair(ranked: DataFrame, golden: DataFrame, k: int = 5, match: str = "prefix80") -> DataFrame:
+def recall_per_pair(ranked: DataFrame, golden: DataFrame, methods: list[str], k: int = 5,
+                    match: str = "prefix80") -> DataFrame:
     """``(method, query_id, context, hit)`` for every method and pair; hit is 0 or 1."""
     top = ranked.filter(F.col("rank") <= k)
     pairs = golden.select("query_id", "context").distinct()
     hits = top.join(pairs, "query_id").filter(is_relevant(F.col("content"), F.col("context"), match)).select(
         "method", "query_id", "context").distinct().withColumn("hit", F.lit(1))
-    methods = ranked.agg(F.collect_set("method")).scalar()
-    return pairs.withColumn("method", F.explode(methods)).join(
+    return pairs.withColumn("method", F.explode(F.array(*map(F.lit, methods)))).join(
         hits, ["method", "query_id", "context"], "left").select(
         "method", "query_id", "context", F.coalesce("hit", F.lit(0)).alias("hit"))
 
 
-def recall_at_k(ranked: DataFrame, golden: DataFrame, k: int = 5, match: str = "prefix80") -> DataFrame:
+def recall_at_k(ranked: DataFrame, golden: DataFrame, methods: list[str], k: int = 5,
+                match: str = "prefix80") -> DataFrame:
     """``(method, recall, pairs)``: share of pairs with a relevant passage in the first ``k``."""
-    return recall_per_pair(ranked, golden, k, match).groupBy("method").agg(
+    return recall_per_pair(ranked, golden, methods, k, match).groupBy("method").agg(
         F.avg("hit").alias("recall"), F.count("*").alias("pairs"))
 
 
-def reciprocal_ranks(ranked: DataFrame, golden: DataFrame, k: int = 5, match: str = "prefix80") -> DataFrame:
+def reciprocal_ranks(ranked: DataFrame, golden: DataFrame, methods: list[str], k: int = 5,
+                     match: str = "prefix80") -> DataFrame:
     """``(method, query_id, rr)``: 1 / rank of the first relevant passage, 0 without one."""
     top = ranked.filter(F.col("rank") <= k)
     best = top.join(golden.select("query_id", "context"), "query_id").filter(
         is_relevant(F.col("content"), F.col("context"), match)).groupBy("method", "query_id").agg(
         F.min("rank").alias("best"))
-    methods = ranked.agg(F.collect_set("method")).scalar()
-    asked = golden.select("query_id").distinct().withColumn("method", F.explode(methods))
+    asked = golden.select("query_id").distinct().withColumn("method", F.explode(F.array(*map(F.lit, methods))))
     return asked.join(best, ["method", "query_id"], "left").select(
         "method", "query_id", F.coalesce(1 / F.col("best"), F.lit(0.0)).alias("rr"))
 
 
-def mrr_at_k(ranked: DataFrame, golden: DataFrame, k: int = 5, match: str = "prefix80") -> DataFrame:
+def mrr_at_k(ranked: DataFrame, golden: DataFrame, methods: list[str], k: int = 5,
+             match: str = "prefix80") -> DataFrame:
     """``(method, mrr, questions)``."""
-    return reciprocal_ranks(ranked, golden, k, match).groupBy("method").agg(
+    return reciprocal_ranks(ranked, golden, methods, k, match).groupBy("method").agg(
         F.avg("rr").alias("mrr"), F.count("*").alias("questions"))
 
 

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.operators.ranking import top_k
+from marlstone.session import stack
 
 
 def ranked_union(rankings: dict[str, DataFrame], id_col: str = "chunk_id") -> DataFrame:
@@ -17,7 +16,7 @@ def ranked_union(rankings: dict[str, DataFrame], id_col: str = "chunk_id") -> Da
                   F.col(id_col).alias("chunk_id"), "rank")
         for no, (name, df) in enumerate(rankings.items())
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return stack(*parts)
 
 
 def reciprocal_rank_fusion(rankings: DataFrame, k: int = 60, weights: dict[str, float] | None = None,

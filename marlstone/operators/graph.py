@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from marlstone.functions import text as tx
 from marlstone.operators.ranking import top_k
-from marlstone.session import staged
+from marlstone.session import stack, staged
 
 NODE_COLUMNS = ("node_key", "label", "id", "name", "props")
 NODES = "node_key string, label string, id string, name string, props map<string,string>"
@@ -75,7 +75,7 @@ def merge_edges(edges: DataFrame, incoming: DataFrame, nodes: DataFrame) -> Data
         .join(keys.withColumnRenamed("node_key", "dst"), "dst", "left_semi")
         .select("src", "rel", "dst")
     )
-    return edges.select("src", "rel", "dst").unionByName(whole).distinct()
+    return stack(edges.select("src", "rel", "dst"), whole).distinct()
 
 
 def link_each(nodes: DataFrame, label: str, rel: str, sources: list[str]) -> DataFrame:
@@ -281,7 +281,7 @@ def breadth_first(edges: DataFrame, source: str, max_hops: int = 15, target: str
         frontier = staged(new)
         if frontier.isEmpty():
             break
-        seen = seen.unionByName(frontier)
+        seen = stack(seen, frontier)
         if target is not None and not frontier.filter(F.col("node_key") == target).isEmpty():
             break
     return seen

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from marlstone.session import stack
 
 
 def top_k(scored: DataFrame, k: int | None, *order: Column, per: tuple[str, ...] = ("query_id",),
@@ -29,7 +30,7 @@ def pad_with_first(best: DataFrame, queries: DataFrame, corpus: DataFrame, k: in
     offered = queries.select("query_id").distinct().select(
         "query_id", F.explode(first.agg(F.collect_list(id_col)).scalar()).alias(id_col),
         F.lit(0).cast(best.schema[value].dataType).alias(value))
-    return best.select("query_id", id_col, value).unionByName(offered).groupBy("query_id", id_col).agg(
+    return stack(best.select("query_id", id_col, value), offered).groupBy("query_id", id_col).agg(
         F.max(value).alias(value))
 
 

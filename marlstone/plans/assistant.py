@@ -13,6 +13,7 @@ from marlstone.operators.fusion import with_text
 from marlstone.operators.graph import related_for_requests
 from marlstone.plans.medallion import fund_lookup
 from marlstone.plans.retrieval import context_text
+from marlstone.session import stack
 
 
 def routed(messages: DataFrame, routes: cv.Routes = cv.Routes(), text: str = "text") -> DataFrame:
@@ -53,9 +54,9 @@ def answer_messages(messages: DataFrame, *, chunks: DataFrame, embedder: Embedde
     label = lambda df, r: df.select("query_id", F.lit(r).alias("route"), "context")
     hits = with_text(vector_search(chunks, of(cv.RAG), embedder, 4), chunks, columns=("content", "source"))
     human = of(cv.HUMAN).select("query_id", F.lit(cv.REVIEW_REQUESTED).alias("context"))
-    return (
-        label(context_text(hits, of(cv.RAG)), cv.RAG)
-        .unionByName(label(fund_context(of(cv.SQL), funds, metrics), cv.SQL))
-        .unionByName(label(graph_context(of(cv.GRAPH), nodes, edges), cv.GRAPH))
-        .unionByName(label(human, cv.HUMAN))
+    return stack(
+        label(context_text(hits, of(cv.RAG)), cv.RAG),
+        label(fund_context(of(cv.SQL), funds, metrics), cv.SQL),
+        label(graph_context(of(cv.GRAPH), nodes, edges), cv.GRAPH),
+        label(human, cv.HUMAN),
     )

@@ -23,8 +23,7 @@ def load_graph(nodes: DataFrame, edges: DataFrame, *, regulations: DataFrame, ar
     con = g.make_nodes(concepts, "Concept", None, "name", ["definition"])
     fund = g.make_nodes(funds, "PensionFund", None, "name", ["country", "type", "aum_eur_bn"])
     req = g.make_nodes(requirements, "Requirement", None, "name", ["description", "mandatory"])
-    new = reg.unionByName(art).unionByName(con).unionByName(fund).unionByName(req)
-    nodes = g.merge_nodes(nodes, new)
+    nodes = g.merge_nodes(nodes, stack(reg, art, con, fund, req))
 
     def key(label: str, column: str):
         return F.concat(F.lit(f"{label}:"), F.col(column).cast("string"))
@@ -32,15 +31,13 @@ def load_graph(nodes: DataFrame, edges: DataFrame, *, regulations: DataFrame, ar
     def edge(df: DataFrame, src, rel: str, dst) -> DataFrame:
         return df.select(src.alias("src"), F.lit(rel).alias("rel"), dst.alias("dst"))
 
-    incoming = (
-        edge(articles, key("Regulation", "regulation"), "CONTAINS", key("Article", "id"))
-        .unionByName(edge(references, key("Article", "article_id"), "REFERENCES", key("Concept", "concept_name")))
-        .unionByName(edge(requirements, key("Article", "article"), "REQUIRES", key("Requirement", "name")))
-    )
+    incoming = [
+        edge(articles, key("Regulation", "regulation"), "CONTAINS", key("Article", "id")),
+        edge(references, key("Article", "article_id"), "REFERENCES", key("Concept", "concept_name")),
+        edge(requirements, key("Article", "article"), "REQUIRES", key("Requirement", "name")),
+    ]
     if applying:
-        incoming = incoming.unionByName(
-            g.link_each(nodes, "PensionFund", "APPLIES_TO", [f"Requirement:{r}" for r in applying]))
+        incoming.append(g.link_each(nodes, "PensionFund", "APPLIES_TO", [f"Requirement:{r}" for r in applying]))
     if defining:
-        incoming = incoming.unionByName(
-            g.link_each(nodes, "Concept", "DEFINES", [f"Regulation:{r}" for r in defining]))
-    return nodes, g.merge_edges(edges, incoming, nodes)
+        incoming.append(g.link_each(nodes, "Concept", "DEFINES", [f"Regulation:{r}" for r in defining]))
+    return nodes, g.merge_edges(edges, stack(*incoming), nodes)

@@ -7,7 +7,6 @@ quality score, regime) are parameters with the defaults below.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from marlstone.functions import keys
 from marlstone.functions import text as tx
 from marlstone.sources.tables import materialise
+from marlstone.session import stack
 
 # Default of the article filter: words from which an article is long enough.
 MIN_WORDS = 20
@@ -105,7 +105,7 @@ def run_row_tests(tests: dict[str, DataFrame]) -> DataFrame:
     """``(test, failures, passed)`` for tests that are queries for failing rows."""
     counts = [df.agg(F.count("*").alias("failures")).select(F.lit(name).alias("test"), "failures")
               for name, df in tests.items()]
-    return reduce(DataFrame.unionByName, counts).withColumn("passed", F.col("failures") == 0)
+    return stack(*counts).withColumn("passed", F.col("failures") == 0)
 
 
 def fund_lookup(requests: DataFrame, funds: DataFrame, metrics: DataFrame,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +9,7 @@ from marlstone.functions import text as tx
 from marlstone.operators import personal_data as pd_
 from marlstone.sources import documents
 from marlstone.sources.tables import write_json_report
+from marlstone.session import stack
 
 FINDINGS = (
     "file_path string, file_type string, column_name string, entity_type string, row_count_with_pii long, "
@@ -59,7 +58,7 @@ def scan_folders(spark: SparkSession, csv_folder: str, text_folder: str,
         n_txt = documents.files_below(spark, text_folder, "txt").count()
         if n_txt:
             parts.append(scan_texts(spark, text_folder, **options))
-    findings = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], FINDINGS)
+    findings = stack(*parts) if parts else spark.createDataFrame([], FINDINGS)
     report = pd_.scan_summary(findings).select(
         tx.iso_stamp(F.current_timestamp()).alias("scan_date"), F.lit(csv_folder).alias("raw_dir"),
         F.lit(text_folder).alias("docs_dir"), F.lit(n_csv + n_txt).cast("long").alias("files_scanned"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,3 +65,16 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def stack(*parts: DataFrame) -> DataFrame:
+    """The rows of all parts, columns matched by name.
+
+    Spark 4.1 takes a union of parts that are partitioned alike for partitioned
+    in that way, but adaptive execution may have merged the partitions of each
+    part differently, and a grouping or join on top then misses rows that belong
+    together. So that assumption is switched off for the session; the grouping
+    gets its own exchange again.
+    """
+    parts[0].sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -4,11 +4,11 @@
 from __future__ import annotations
 
 import logging
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from marlstone.session import stack
 
 log = logging.getLogger(__name__)
 
@@ -98,7 +98,7 @@ def load_documents(spark: SparkSession, paths: list[str]) -> DataFrame:
     if not parts:
         return spark.createDataFrame(
             [], "doc_id string, text string, source string, type string, row long, title string, category string")
-    return reduce(DataFrame.unionByName, parts)
+    return stack(*parts)
 
 
 def files_below(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
