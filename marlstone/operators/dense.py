@@ -88,9 +88,9 @@ def _tiled_search(rows: DataFrame, asked: DataFrame, schema: T.StructType, k: in
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     place = ["_tile", "_block"]
     left = rows.withColumn("_tile", F.pmod(F.xxhash64(id_col), F.lit(tiles))).withColumn(
-        "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long"))
+        "_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     right = asked.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).withColumn(
-        "_tile", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).cast("long"))
+        "_tile", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))))
     arrow = to_arrow_schema(schema)
 
     def meet(corpus_part: pa.Table, query_part: pa.Table) -> pa.Table:

@@ -125,7 +125,7 @@ class _TermMatrix:
         cell = self.query[at] * n_rows + row[entry]
         shape = (len(self.query_ids), n_rows)
         cells = shape[0] * shape[1]
-        total = np.bincount(cell, weights=factor[entry] * self.weight[at], minlength=cells)
+        total = np.bincount(cell, weights=factor[entry] * self.weight[at], minlength=cells).astype(np.float64)
         total[np.bincount(cell, minlength=cells) == 0] = NO_SCORE
         return np.round(total.reshape(shape), 9)
 
