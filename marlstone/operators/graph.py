@@ -267,8 +267,7 @@ def breadth_first(edges: DataFrame, source: str, max_hops: int = 15, target: str
     storage before the next. Stops when ``target`` is reached or nothing is new.
     """
     spark = edges.sparkSession
-    ways = both_ways(edges).select("a", "b").distinct()
-    ways = staged(ways)
+    ways = staged(both_ways(edges).select("a", "b"))
     seen = staged(spark.createDataFrame([(source, 0, None)], "node_key string, hops int, parent string"))
     frontier = seen
     for hop in range(1, max_hops + 1):

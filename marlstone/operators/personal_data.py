@@ -22,18 +22,30 @@ SNIPPET_MARGIN = 15
 
 @dataclass(frozen=True)
 class Detector:
-    """A pattern for an entity type; ``check`` names a validator for each match."""
+    """A pattern for an entity type; ``check`` names a validator for each match.
+
+    Every match holds one of the ``marks``, so a text without any is not searched.
+    """
 
     entity: str
     pattern: str
     confidence: float
     check: str | None = None
+    marks: tuple[str, ...] = ()
+
+    def found_in(self, text: Column) -> Column:
+        hit = text.rlike(self.pattern)
+        if not self.marks:
+            return hit
+        marked = reduce(lambda a, b: a | b, [F.contains(text, F.lit(m)) for m in self.marks])
+        return marked & hit
 
 
-EMAIL = Detector("EMAIL_ADDRESS", r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", 1.0)
+EMAIL = Detector("EMAIL_ADDRESS", r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", 1.0,
+                 marks=("@",))
 PHONE = Detector(
     "PHONE_NUMBER",
-    r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}|\(\d{3}\) ?\d{3}-\d{4}", 0.75)
+    r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}|\(\d{3}\) ?\d{3}-\d{4}", 0.75, marks=("+", "("))
 IBAN = Detector(
     "IBAN_CODE",
     r"\b[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)\b", 1.0, "mod97")
@@ -96,7 +108,7 @@ def redact(text: Column, detectors: tuple[Detector, ...] = DETECTORS,
 
 def any_match(text: Column, detectors: tuple[Detector, ...]) -> Column:
     """A cheap test before the matches are taken apart."""
-    return reduce(lambda a, b: a | b, [text.rlike(d.pattern) for d in detectors], F.lit(False))
+    return reduce(lambda a, b: a | b, [d.found_in(text) for d in detectors], F.lit(False))
 
 
 def cell_hits(cells: DataFrame, detectors: tuple[Detector, ...] = DETECTORS,
@@ -168,7 +180,7 @@ def text_findings(docs: DataFrame, detectors: tuple[Detector, ...] = DETECTORS,
                 s["value"].alias("value"), s["start"].alias("start"), s["end"].alias("end"),
                 F.lit(d.confidence).alias("confidence")))
 
-        spans = reduce(F.concat, [F.when(body.rlike(d.pattern), valid(d)).otherwise(empty) for d in group])
+        spans = reduce(F.concat, [F.when(d.found_in(body), valid(d)).otherwise(empty) for d in group])
         found.append(F.struct(F.lit(entity).alias("entity_type"), F.array_sort(
             F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
                                                   s["confidence"].alias("confidence")))).alias("spans")))

@@ -49,6 +49,5 @@ def containment_pairs(haystacks: DataFrame, hay: str, needles: DataFrame, needle
         .withColumn("_at", F.explode(F.sequence(F.lit(1), F.length(hay) - F.col("_n") + 1)))
         .withColumn("_sub", F.substring(F.col(hay), F.col("_at"), F.col("_n")))
         .drop("_at", "_n")
-        .distinct()
     )
-    return parts.join(wanted, F.col("_sub") == F.col(needle)).drop("_sub")
+    return parts.join(wanted, F.col("_sub") == F.col(needle)).drop("_sub").distinct()
