@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from marlstone.operators import entities as en
 from marlstone.operators import graph as g
