@@ -3,7 +3,6 @@ cut lineage through shared storage."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import reduce
 
@@ -32,27 +31,28 @@ def local_session(cpus: int | str = "*", app: str = "marlstone", **conf: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder.
+    Only a local session without that setting takes a folder in its warehouse.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="marlstone-")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/marlstone-shared"
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     The result has no lineage behind it, survives the loss of executors, and its
     file sizes tell the optimizer whether a later join may broadcast it.
+    ``compression`` replaces the session's Parquet codec.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/marlstone-staged/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("compression", compression) if compression else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
