@@ -5,12 +5,32 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from marlstone.llm import contamination, language, mixing, simhash, tokens
+from marlstone.llm import contamination, language, mixing, perspectives, quality, revisits, rules, simhash, tokens, urls
 from marlstone.llm.common import fold, table
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_quality(spark, folder):
+    docs = table(spark, folder, "documents")
+    scored = quality.score(docs, quality.train(docs, table(spark, folder, "labels")))
+    held = fold(F.col("doc_id"), quality.FOLDS) == quality.HELD_OUT_FOLD
+    return scored.select("doc_id", held.alias("held_out"), "score",
+                         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op2_perspectives(spark, folder):
+    return perspectives.rotate(table(spark, folder, "conversations"))
+
+
+def op3_rules(spark, folder):
+    return rules.judge(table(spark, folder, "documents"))
+
+
+def op4_revisits(spark, folder):
+    return revisits.resolve(revisits.capture_log(table(spark, folder, "pages")))
+
+
 def op5_simhash(spark, folder):
     return simhash.simhash_components(table(spark, folder, "documents"))
 
@@ -19,6 +39,10 @@ def op6_rans(spark, folder):
     return tokens.write_and_read(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op7_urls(spark, folder):
+    return urls.judge(table(spark, folder, "pages"))
+
+
 def op8_mixture(spark, folder):
     return mixing.mixture(table(spark, folder, "documents"))
 
@@ -34,5 +58,7 @@ def op10_contamination(spark, folder):
     return contamination.find_overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op5_simhash, op6_rans, op8_mixture, op9_language, op10_contamination)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_quality, op2_perspectives, op3_rules, op4_revisits, op5_simhash, op6_rans, op7_urls, op8_mixture, op9_language,
+    op10_contamination)}
+SQL = {"op3_rules": rules.judge_sql()}

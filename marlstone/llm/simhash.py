@@ -182,8 +182,9 @@ def near_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataF
     A node is a distinct text, named by its smallest ``doc_id`` and its key (null ids
     come last). Texts meet when two of three fingerprint segments decode to a common
     code word and their lengths are within a factor of 1.25. Under each key a text
-    is compared with the first and the last member only, so a key costs as many
-    comparisons as it has members, whatever its size. A link stands if the
+    is compared with the first member only, so a key costs as many comparisons as
+    it has members, whatever its size; a text has up to 108 keys and so as many
+    chances. A link stands if the
     Jaccard similarity of the shingle sets is at least ``similarity``.
     """
     seen = staged(fingerprints(docs.withColumns({"_h": text_key(F.col("text"))[0], "_g": text_key(F.col("text"))[1]}),
@@ -196,11 +197,9 @@ def near_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataF
     shape = "key long, fingerprint long, n_shingles long"
     head = F.struct("fingerprint", "n_shingles")
     keyed = kinds.mapInArrow(_pairs_of_segments, shape)
-    ends = (keyed.groupBy("key").agg(F.min(head).alias("low"), F.max(head).alias("high"), F.count("*").alias("n"))
-            .where("n > 1").drop("n"))
-    met = keyed.join(ends, "key")
-    tried = stack(*[met.select("fingerprint", "n_shingles", F.col(f"{end}.fingerprint").alias("other"),
-                               F.col(f"{end}.n_shingles").alias("other_n")) for end in ("low", "high")])
+    firsts = (keyed.groupBy("key").agg(F.min(head).alias("first"), F.count("*").alias("n"))
+             .where("n > 1").select("key", "first.*").toDF("key", "other", "other_n"))
+    tried = keyed.join(firsts, "key").select("fingerprint", "n_shingles", "other", "other_n")
     close = tried.where(
         f"bit_count(fingerprint ^ other) <= {MOST_BITS} and least(n_shingles, other_n) * 1.25 >= greatest(n_shingles, other_n)"
         " and (fingerprint <> other or n_shingles <> other_n)").distinct()

@@ -21,9 +21,11 @@ blocks of a frame are coded side by side as one array.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,33 +40,35 @@ END_ID = 1
 BITS, LOW = 20, np.uint64(1 << 31)  # frequencies add up to 2**BITS; states lie in [LOW, LOW * 2**32)
 LANES, BLOCK = 128, 32768
 FRAME_TOKENS = 16 * BLOCK
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
 HEAD, CHECKPOINT = "<4sIHI", np.dtype([("token", "<u8"), ("word", "<u8"), ("crc", "<u4")])
 
-# Fixed value: how the tokenizer file cuts text into pieces, each coded by itself.
-PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# Characters for which lower-casing and cutting here agree with the library by construction;
-# texts with others, or with the name of a special token, go through the library whole.
-OTHER = r"[^\t\n\r -~¡-įı-ɏ]|<\|(?:start|end)oftext\|>"
+# How the tokenizer file cuts text into pieces, each coded by itself: in the characters below
+# this pattern finds what the file's own (letters, single digits, the rest) finds.
+PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+"
+# Texts with other characters, or with the name of a special token, go through the library whole.
+OTHER = r"[^\t\n\r -~¡-±´-¸º»¿-įı-ɏ]|<\|(?:start|end)oftext\|>"
 
 
 class Encoder:
     """Ids of whole texts by a tokenizer file; pieces that were coded before come from a bounded cache."""
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.pieces = regex.compile(PIECE).findall
-        self.other = regex.compile(OTHER).search
+        self.pieces = re.compile(PIECE).findall
+        self.other = re.compile(OTHER).search
+        # Byte-level models name a byte by a visible character: itself, or the next one from 256 on.
+        hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+        self.shown = {b: 256 + i for i, b in enumerate(hidden)}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _bytes(self, encoding) -> bytes:
-        return np.array(encoding.ids, dtype=self.type).tobytes()
+        return array(self.type.char, encoding.ids).tobytes()
 
     def _learn(self, pieces: list[str]) -> None:
         if len(self.young) > CACHED_WORDS:
@@ -75,8 +79,10 @@ class Encoder:
                 self.young[piece] = self.old[piece]
             else:
                 missing.append(piece)
-        found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        self.young.update(zip(missing, map(self._bytes, found)))
+        model = self.tokenizer.model.tokenize
+        for piece in missing:
+            ids = [t.id for t in model(piece.encode().decode("latin-1").translate(self.shown))]
+            self.young[piece] = array(self.type.char, ids).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian values of ``self.type``, without the end id."""
@@ -207,10 +213,14 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFram
     """``doc_id, n_tokens, crc, ids`` of every document; ``ids`` is zstandard over fixed-width values, the end id last."""
     schema = docs.select("doc_id").schema.add("n_tokens", "long").add("crc", "long").add("ids", "binary")
 
+    kept = docs.sparkSession.sparkContext.broadcast({})  # one empty dict per worker, which tasks that follow find filled
+
     def run(parts):
         import zstandard
 
-        own, squeeze = Encoder(tokenizer), zstandard.ZstdCompressor(1)
+        own = kept.value.setdefault(tokenizer, None) or Encoder(tokenizer)
+        kept.value[tokenizer] = own
+        squeeze = zstandard.ZstdCompressor(1)
         end = np.array([end_id], dtype=own.type).tobytes()
         for part in parts:
             raw = [own.encode(t.as_py()) + end for t in part.column(1)]
