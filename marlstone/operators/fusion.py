@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.operators.ranking import top_k
-from marlstone.session import stack
+from marlstone.session import stack, staged
 
 
 def ranked_union(rankings: dict[str, DataFrame], id_col: str = "chunk_id") -> DataFrame:
@@ -61,5 +61,10 @@ def side_by_side(rankings: DataFrame, rankers: list[str], depth: int) -> DataFra
 
 def with_text(ranked: DataFrame, corpus: DataFrame, id_col: str = "chunk_id",
               columns: tuple[str, ...] = ("content",)) -> DataFrame:
-    """Texts of ranked ids; ids that are not in the corpus drop out."""
+    """Texts of ranked ids; ids that are not in the corpus drop out.
+
+    The ranking is written first: it is a few rows per query, and by its measured size
+    it is broadcast, so that the texts are not shuffled for it.
+    """
+    ranked = staged(ranked)
     return ranked.join(corpus.select(F.col(id_col).alias("chunk_id"), *columns), "chunk_id")

@@ -7,6 +7,8 @@ Patterns are equi-joins written from their selective end.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -259,18 +261,19 @@ def reachable_difference(edges: DataFrame, a: str, b: str, rel: str) -> DataFram
     return of(a).join(of(b), "node_key", "left_anti").distinct()
 
 
-def breadth_first(edges: DataFrame, source: str, max_hops: int = 15, target: str | None = None) -> DataFrame:
-    """``(node_key, hops, parent)`` of every node within ``max_hops`` of ``source``, edges taken both ways.
+def breadth_first(edges: DataFrame, source: str, max_hops: int | None = None, target: str | None = None) -> DataFrame:
+    """``(node_key, hops, parent)`` of every node that ``source`` reaches, edges taken both ways.
 
     ``parent`` is the smallest neighbour that is one hop nearer. Each hop is one
     join of the frontier (one row per node) with the edges, written to shared
-    storage before the next. Stops when ``target`` is reached or nothing is new.
+    storage before the next. Stops when ``target`` is reached or nothing is new, or
+    after ``max_hops`` if the caller sets a bound.
     """
     spark = edges.sparkSession
     ways = staged(both_ways(edges).select("a", "b"))
     seen = staged(spark.createDataFrame([(source, 0, None)], "node_key string, hops int, parent string"))
     frontier = seen
-    for hop in range(1, max_hops + 1):
+    for hop in count(1) if max_hops is None else range(1, max_hops + 1):
         new = (
             ways.join(frontier.select(F.col("node_key").alias("a")), "a")
             .groupBy(F.col("b").alias("node_key")).agg(F.min("a").alias("parent"))
@@ -286,7 +289,7 @@ def breadth_first(edges: DataFrame, source: str, max_hops: int = 15, target: str
     return seen
 
 
-def shortest_path(nodes: DataFrame, edges: DataFrame, source: str, target: str, max_hops: int = 15) -> DataFrame:
+def shortest_path(nodes: DataFrame, edges: DataFrame, source: str, target: str, max_hops: int | None = None) -> DataFrame:
     """One row ``(hops, path_nodes)`` of names (ids where a node has no name); empty when not connected."""
     spark = nodes.sparkSession
     seen = breadth_first(edges, source, max_hops, target)

@@ -17,7 +17,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.functions import text as tx
@@ -29,6 +29,7 @@ from marlstone.operators.scan import NO_SCORE, as_ids, hit_schema, scan_top_k
 K1, B, OKAPI_EPSILON = 1.5, 0.75, 0.25
 # Most (query, term) rows and most queries that are sent to every task.
 TERM_BLOCK, QUERY_BLOCK = 200_000, 4096
+PAIRS_AT_ONCE = 1_000_000
 
 
 class LexicalIndex(NamedTuple):
@@ -46,13 +47,18 @@ class LexicalIndex(NamedTuple):
         return LexicalIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/stats"))
 
 
+def _terms(text: str) -> Column:
+    """The terms of a text; a null text has none, and counts as a chunk of length 0."""
+    return F.coalesce(tx.tokens(text), F.array().cast("array<string>"))
+
+
 def lexical_index(corpus: DataFrame, id_col: str = "chunk_id", text: str = "content") -> LexicalIndex:
     """Term counts per chunk, and the number and mean length of chunks."""
-    cut = corpus.select(F.col(id_col).alias("chunk_id"), tx.tokens(text).alias("toks")).withColumn(
+    cut = corpus.select(F.col(id_col).alias("chunk_id"), _terms(text).alias("toks")).withColumn(
         "dl", F.size("toks"))
     postings = cut.select("chunk_id", "dl", F.explode("toks").alias("term")).groupBy(
         "chunk_id", "dl", "term").agg(F.count("*").alias("tf"))
-    stats = corpus.select(F.size(tx.tokens(text)).alias("dl")).agg(
+    stats = corpus.select(F.size(_terms(text)).alias("dl")).agg(
         F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
     return LexicalIndex(postings, stats)
 
@@ -119,14 +125,21 @@ class _TermMatrix:
     def add_up(self, row: np.ndarray, term: np.ndarray, factor: np.ndarray, n_rows: int) -> np.ndarray:
         """``scores[q, row]``: sum of ``factor * weight`` over the given (row, term) entries."""
         sizes = self.start[term + 1] - self.start[term]
-        entry = np.repeat(np.arange(len(term)), sizes)
-        offset = np.arange(len(entry)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        at = self.start[term][entry] + offset
-        cell = self.query[at] * n_rows + row[entry]
         shape = (len(self.query_ids), n_rows)
-        cells = shape[0] * shape[1]
-        total = np.bincount(cell, weights=factor[entry] * self.weight[at], minlength=cells).astype(np.float64)
-        total[np.bincount(cell, minlength=cells) == 0] = NO_SCORE
+        total, met = np.zeros(shape[0] * n_rows), np.zeros(shape[0] * n_rows, dtype=bool)
+        ends = np.cumsum(sizes)
+        first = 0
+        while first < len(term):  # a bounded number of (entry, query) pairs at a time
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] - sizes[first] + PAIRS_AT_ONCE, "right")))
+            part = sizes[first:last]
+            entry = np.repeat(np.arange(first, last), part)
+            offset = np.arange(len(entry)) - np.repeat(np.cumsum(part) - part, part)
+            at = self.start[term][entry] + offset
+            cell = self.query[at] * n_rows + row[entry]
+            np.add.at(total, cell, factor[entry] * self.weight[at])
+            met[cell] = True
+            first = last
+        total[~met] = NO_SCORE
         return np.round(total.reshape(shape), 9)
 
 
@@ -146,7 +159,7 @@ def _scan_bm25(corpus: DataFrame, rows: list[tuple], query_type, k: int, id_col:
                b: float, variant: str) -> DataFrame:
     """One pass for the document frequencies of the asked terms, one for the scores."""
     spark = corpus.sparkSession
-    cut = corpus.select(F.col(id_col).alias("chunk_id"), tx.tokens(content).alias("toks"))
+    cut = corpus.select(F.col(id_col).alias("chunk_id"), _terms(content).alias("toks"))
     # The empty word stands for "every chunk": its row carries the corpus totals.
     asked = spark.createDataFrame([(t,) for t in {r[1] for r in rows} | {""}], "term string")
     seen = cut.select(F.size("toks").alias("dl"), F.explode(

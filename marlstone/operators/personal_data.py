@@ -12,11 +12,10 @@ from marlstone.functions import text as tx
 from marlstone.operators.ranking import top_k
 
 # Columns whose personal data is intended, confidence from which a
-# hit counts, examples kept per finding, rows read per CSV file.
+# hit counts, examples kept per finding.
 ALLOWED_COLUMNS = ("counterparty_email", "counterparty_iban", "analyst_email")
 MIN_CONFIDENCE = 0.6
 MAX_EXAMPLES = 3
-SAMPLE_ROWS = 500
 SNIPPET_MARGIN = 15
 
 

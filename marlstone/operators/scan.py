@@ -44,6 +44,7 @@ class TopRows:
         """``scores[q, row]``; ``NO_SCORE`` marks a row that is no hit of the query."""
         if scores.size == 0:
             return
+        scores = np.where(np.isnan(scores), NO_SCORE, scores)  # a vector with such a component is no hit
         for q in np.nonzero(scores.max(axis=1) >= self.worst)[0]:
             row = scores[q]
             keep = np.nonzero(row >= self.worst[q])[0]

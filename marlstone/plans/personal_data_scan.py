@@ -21,7 +21,7 @@ class UnexpectedPersonalData(RuntimeError):
     """Raised by the gate."""
 
 
-def scan_csv(spark: SparkSession, path: str, sample_rows: int | None = pd_.SAMPLE_ROWS, **options) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, sample_rows: int | None = None, **options) -> DataFrame:
     """Findings of one CSV file (or glob of files with the same columns)."""
     df = documents.read_csv(spark, path)
     columns = df.columns
@@ -41,7 +41,7 @@ def scan_texts(spark: SparkSession, folder: str, **options) -> DataFrame:
 
 
 def scan_folders(spark: SparkSession, csv_folder: str, text_folder: str,
-                 sample_rows: int | None = pd_.SAMPLE_ROWS, **options) -> tuple[DataFrame, DataFrame]:
+                 sample_rows: int | None = None, **options) -> tuple[DataFrame, DataFrame]:
     """``(findings, report)``; a missing folder counts as empty.
 
     CSV files with the same header are read together as one table.

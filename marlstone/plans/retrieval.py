@@ -17,7 +17,6 @@ from marlstone.operators.rerank import CosineScorer, PairScorer, rerank
 
 NO_PASSAGE = "No relevant regulation text found."
 # Most article summaries that are put into one context text.
-SUMMARY_ARTICLES = 100
 
 
 @dataclass
@@ -106,11 +105,9 @@ def graph_guided(chunks: DataFrame, queries: DataFrame, articles: DataFrame, emb
     """``(query_id, context)`` from the best chunks of the given articles.
 
     ``articles`` comes from ``articles_of_concept``; no article means no filter.
-    Where no chunk is found the article summaries stand in, as long as they are
-    few enough for one text; beyond that ``context`` is null and the caller reads
-    the ``articles`` rows, which are the same for every query.
+    Where no chunk is found the summaries of all the articles stand in, joined to one text.
     """
-    some = articles.limit(SUMMARY_ARTICLES + 1).count()
+    some = not articles.isEmpty()
     pool = chunks
     if some:
         pool = chunks.join(articles.select(F.col("id").alias(article)), article, "left_semi")
@@ -119,7 +116,7 @@ def graph_guided(chunks: DataFrame, queries: DataFrame, articles: DataFrame, emb
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "content"))),
                                  lambda p: p["content"]), tx.PASSAGE_RULE).alias("passages"))
     digest = F.lit(None).cast("string")
-    if 0 < some <= SUMMARY_ARTICLES:
+    if some:
         known = lambda c: F.coalesce(F.col(c), F.lit(""))
         line = F.concat(F.lit("["), F.col("id"), F.lit("] "), known("title"), F.lit("\n"), known("summary"))
         digest = articles.agg(F.array_join(F.transform(

@@ -112,7 +112,7 @@ def files_below(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
     )
 
 
-def first_rows_per_file(df: DataFrame, limit: int | None = 500, file: str = "_file", at: str = "_at") -> DataFrame:
+def first_rows_per_file(df: DataFrame, limit: int | None = None, file: str = "_file", at: str = "_at") -> DataFrame:
     """The first ``limit`` rows of each file in reading order; ``None`` keeps all rows."""
     if limit is None:
         return df

@@ -118,3 +118,10 @@ def test_entities(spark):
 def test_longest_match_wins_over_first():
     picked = en.find_entities("a b c d", [("a b", "X"), ("b c d", "Y"), ("c", "Z")], [])
     assert picked == [(2, 7, "Y")]
+
+
+def test_path_of_forty_hops(spark):
+    nodes = spark.createDataFrame([(f"n{i}", "N", f"n{i}", f"n{i}", {}) for i in range(41)],
+                                  "node_key string, label string, id string, name string, props map<string,string>")
+    edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}", "R") for i in range(40)], "src string, dst string, rel string")
+    assert g.shortest_path(nodes, edges, "n0", "n40").first()["hops"] == 40

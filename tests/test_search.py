@@ -150,3 +150,18 @@ def test_graph_guided_falls_back_to_summaries(spark, queries):
     articles = spark.createDataFrame([("A2", "t2", "s2"), ("A1", "t1", "s1")], "id string, title string, summary string")
     got = plan.graph_guided(chunks, queries, articles, HashingEmbedder(8)).select("context").distinct().collect()
     assert [r["context"] for r in got] == ["[A1] t1\ns1\n\n[A2] t2\ns2"]
+
+
+def test_nan_vector_is_no_hit(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(10)] + [(99, [float("nan"), 1.0])]
+    corpus = spark.createDataFrame(rows, "chunk_id long, embedding array<double>").coalesce(1)
+    asked = spark.createDataFrame([("q", [1.0, 0.0])], "query_id string, embedding array<double>")
+    assert [r.chunk_id for r in dense.nearest(corpus, asked, 3).orderBy("rank").collect()] == [9, 8, 7]
+
+
+def test_null_texts_count_alike_on_both_ways(spark):
+    corpus = spark.createDataFrame([("a", "red fox"), ("b", "blue"), ("c", None), ("d", None)], "chunk_id string, content string")
+    asked = spark.createDataFrame([("q", "red fox")], "query_id string, text string")
+    scan = lexical.bm25_search(corpus, asked, 3).collect()
+    stored = lexical.bm25_search(corpus, asked, 3, index=lexical.lexical_index(corpus)).collect()
+    assert [(r.chunk_id, r.score) for r in scan] == [(r.chunk_id, r.score) for r in stored]
