@@ -14,8 +14,8 @@ only, so each is entered under itself and under every fingerprint one bit away
 there. Two members within two bits share such an entry, and all that share one are
 within two bits, so each is linked with the smallest: exact, and linear.
 
-``near_texts`` is the form for texts: five-word shingles, candidates from nearby
-fingerprints, and a check of the true similarity of the shingle sets.
+``near_texts`` is the form for texts: five-word shingles, candidates from the keys of
+several independent fingerprints, and a check of the true similarity of the shingle sets.
 """
 
 from __future__ import annotations
@@ -33,12 +33,16 @@ from marlstone.session import stack, staged
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and number of bits
 PAIRED = 64  # larger keys are linked by the exact linear way
-MOST_BITS = 18  # candidates of near_texts: expected bits at similarity 0.8 are 10, of unrelated texts 32
+PRINTS = 3  # independent fingerprints of near_texts
+MOST_BITS = 19  # candidates of near_texts: expected bits at similarity 0.8 are 10, of unrelated texts 32
 
 
 def fingerprint(tokens: list[bytes], size: int) -> int:
     """A bit is 1 if more than half of the shingles' hashes have it; no words: 0. Signed 64 bits."""
-    hashes = hashed(shingles(tokens, size))
+    return _majority(hashed(shingles(tokens, size)))
+
+
+def _majority(hashes: np.ndarray) -> int:
     if not len(hashes):
         return 0
     counts = np.zeros(64, dtype=np.int64)
@@ -140,19 +144,117 @@ def simhash_components(docs: DataFrame, size: int = 3, paired: int = PAIRED) ->
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _prints(docs: DataFrame, size: int) -> DataFrame:
+    """``doc_id, _h, _g``, one long per independent fingerprint (``p0``, ``p1``, ...) and ``n_shingles``."""
+    key = ("doc_id", "_h", "_g")
+    kept = docs.select(*key[:1], *text_key(F.col("text")), "text")
+    names = [*key, *[f"p{i}" for i in range(PRINTS)], "n_shingles"]
+    schema = kept.drop("text").schema
+    for name in names[3:]:
+        schema = schema.add(name, "long")
+
+    def run(parts):
+        for part in parts:
+            tokens = (byte_words(t.as_py()) for t in part.column(3))
+            found = [(*several(t, size), max(len(t) - size + 1, min(len(t), 1))) for t in tokens]
+            values = np.array(found, dtype=np.int64).reshape(-1, PRINTS + 1)
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], *map(pa.array, np.ascontiguousarray(values.T))], names=names)
+
+    return kept.mapInArrow(run, schema)
+
+
+def several(tokens: list[bytes], size: int) -> list[int]:
+    """``PRINTS`` independent fingerprints: of the hashes and of remixed hashes."""
+    hashes = hashed(shingles(tokens, size))
+    return [_majority(hashes if not i else _remixed(hashes, i)) for i in range(PRINTS)]
+
+
+def _remixed(hashes: np.ndarray, number: int) -> np.ndarray:
+    mixed = (hashes ^ np.uint64(number)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return mixed ^ mixed >> np.uint64(32)
+
+
 def _pairs_of_segments(parts):
-    """Keys of two segments each, up to 108 for a fingerprint."""
+    """``key, id, proof``: keys of two segments each, up to 108 for a fingerprint, with another fingerprint to compare."""
     for part in parts:
-        prints = part.column(0).to_numpy(zero_copy_only=False)
-        lengths = part.column(1).to_numpy(zero_copy_only=False)
-        found = [golay.keys(s).astype(np.int64) for s in _segments(prints.view(np.uint64))]
-        for i, j in ((0, 1), (0, 2), (1, 2)):
-            both = (found[i][:, :, None] << 12 | found[j][:, None, :]).reshape(len(prints), -1)
-            good = ((found[i][:, :, None] >= 0) & (found[j][:, None, :] >= 0)).reshape(len(prints), -1)
-            row, _ = np.nonzero(good)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(both[good] << 2 | i + j - 1), pa.array(prints[row]), pa.array(lengths[row])],
-                names=["key", "fingerprint", "n_shingles"])
+        ids = part.column(0).to_numpy(zero_copy_only=False)
+        prints = [part.column(1 + i).to_numpy(zero_copy_only=False) for i in range(PRINTS)]
+        for number in range(PRINTS):
+            proof = prints[(number + 1) % PRINTS]
+            found = [golay.keys(s).astype(np.int64) for s in _segments(prints[number].view(np.uint64))]
+            for i, j in ((0, 1), (0, 2), (1, 2)):
+                both = (found[i][:, :, None] << 12 | found[j][:, None, :]).reshape(len(ids), -1)
+                good = ((found[i][:, :, None] >= 0) & (found[j][:, None, :] >= 0)).reshape(len(ids), -1)
+                row, _ = np.nonzero(good)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((both[good] << 2 | i + j - 1) << 2 | number), pa.array(ids[row]), pa.array(proof[row])],
+                    names=["key", "id", "proof"])
+
+
+def _led(keys, ids, proofs):
+    """Pairs (row, leader) and the leaders of rows sorted by key.
+
+    The first row of a key leads it; rows too far from it go on to the next round,
+    where the first of them leads, until every row has a leader or is one. All
+    keys take a round together.
+    """
+    rows, pairs, leaders = np.arange(len(keys)), [], []
+    while len(rows):
+        new = np.concatenate([[True], keys[rows[1:]] != keys[rows[:-1]]])
+        lead = rows[np.nonzero(new)[0][np.cumsum(new) - 1]]
+        near = np.bitwise_count(proofs[rows] ^ proofs[lead]) <= MOST_BITS
+        met = near & (ids[rows] != ids[lead])
+        pairs.append(np.stack([rows[met], lead[met]], axis=1))
+        leaders.append(rows[new])
+        rows = rows[~near & ~new]
+    return np.concatenate(pairs), np.sort(np.concatenate(leaders))
+
+
+MET = "id long, other long, key long, proof long"
+
+
+def _meetings(parts):
+    """Rows come sorted by key. Yields ``id, other`` of rows that are close, and the leaders of the
+    first and the last key of the task (``other`` null), as the same key may go on in the next task."""
+    def batch(i, other, key, proof):
+        return pa.RecordBatch.from_arrays([pa.array(i), other, pa.array(key), pa.array(proof)],
+                                          names=["id", "other", "key", "proof"])
+
+    held = [np.zeros(0, np.int64)] * 3
+    first = None
+    for part in parts:
+        if not part.num_rows:
+            continue
+        columns = [np.concatenate([h, c.to_numpy(zero_copy_only=False)]) for h, c in zip(held, part.columns)]
+        keys, ids, proofs = columns[0], columns[1], columns[2].view(np.uint64)
+        first = keys[0] if first is None else first
+        pairs, leaders = _led(keys, ids, proofs)
+        met = np.unique(np.stack([ids[pairs[:, 0]], ids[pairs[:, 1]]], axis=1), axis=0)
+        none = np.zeros(len(met), np.int64)
+        yield batch(met[:, 0], pa.array(met[:, 1]), none, none)
+        # leaders of the last key meet the rows of the next batch
+        ended = leaders[keys[leaders] != keys[-1]]
+        edge = ended[keys[ended] == first]
+        yield batch(ids[edge], pa.nulls(len(edge), pa.int64()), keys[edge], columns[2][edge])
+        last = leaders[keys[leaders] == keys[-1]]
+        held = [c[last] for c in columns]
+    yield batch(held[1], pa.nulls(len(held[1]), pa.int64()), held[0], held[2])
+
+
+def _close(kinds: DataFrame) -> DataFrame:
+    """``id, other``: pairs of ``kinds`` (``id``, ``p0``, ...) that share a key and are close in another fingerprint.
+
+    Keys are sorted over all tasks, so a frequent key spreads over many, and each
+    row meets the leaders of its key in its task. What leads the first or last key
+    of a task is then compared across tasks in the same way.
+    """
+    keyed = kinds.mapInArrow(_pairs_of_segments, "key long, id long, proof long")
+    order = ["key", "proof", "id"]
+    found = staged(keyed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_meetings, MET))
+    edges = found.where("other is null").select("key", "id", "proof")
+    across = edges.repartitionByRange("key").sortWithinPartitions(*order).mapInArrow(_meetings, MET)
+    return stack(found, across).where("other is not null").select("id", "other").distinct()
 
 
 def _jaccard(parts):
@@ -180,36 +282,26 @@ def near_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataF
     """``_h, _g, node, root``: distinct texts that have a near duplicate, with the smallest node of their group.
 
     A node is a distinct text, named by its smallest ``doc_id`` and its key (null ids
-    come last). Texts meet when two of three fingerprint segments decode to a common
-    code word and their lengths are within a factor of 1.25. Under each key a text
-    is compared with the first member only, so a key costs as many comparisons as
-    it has members, whatever its size; a text has up to 108 keys and so as many
-    chances. A link stands if the
-    Jaccard similarity of the shingle sets is at least ``similarity``.
+    come last). Texts meet when in one of ``PRINTS`` independent fingerprints two of
+    three segments decode to a common code word; each is then compared with the
+    leaders of the key (see ``_led``), so copies cost one comparison each and
+    strangers under the same key hide nobody. Candidates differ in at most
+    ``MOST_BITS`` bits of another fingerprint and are within a factor of 1.25 in
+    length. A link stands if the Jaccard similarity of the shingle sets is at
+    least ``similarity``.
     """
-    seen = staged(fingerprints(docs.withColumns({"_h": text_key(F.col("text"))[0], "_g": text_key(F.col("text"))[1]}),
-                               size, ("doc_id", "_h", "_g"))
-                  .groupBy("_h", "_g").agg(F.min("doc_id").alias("least"), F.first("fingerprint").alias("fingerprint"),
-                                           F.first("n_shingles").alias("n_shingles"))
-                  .withColumn("node", F.struct(F.col("least").isNull().alias("none"), "least", "_h", "_g")))
-    prints = seen.groupBy("fingerprint", "n_shingles").agg(F.min("node").alias("node"))
-    kinds = prints.select("fingerprint", "n_shingles")
-    shape = "key long, fingerprint long, n_shingles long"
-    head = F.struct("fingerprint", "n_shingles")
-    keyed = kinds.mapInArrow(_pairs_of_segments, shape)
-    firsts = (keyed.groupBy("key").agg(F.min(head).alias("first"), F.count("*").alias("n"))
-             .where("n > 1").select("key", "first.*").toDF("key", "other", "other_n"))
-    tried = keyed.join(firsts, "key").select("fingerprint", "n_shingles", "other", "other_n")
-    close = tried.where(
-        f"bit_count(fingerprint ^ other) <= {MOST_BITS} and least(n_shingles, other_n) * 1.25 >= greatest(n_shingles, other_n)"
-        " and (fingerprint <> other or n_shingles <> other_n)").distinct()
-    other = prints.select(F.col("fingerprint").alias("other"), F.col("n_shingles").alias("other_n"),
-                          F.col("node").alias("v"))
-    across = (close.join(prints.withColumnRenamed("node", "u"), ["fingerprint", "n_shingles"])
-              .join(other, ["other", "other_n"]).select("u", "v"))
-    # texts of one fingerprint and length: each against the first
-    within = (seen.select("fingerprint", "n_shingles", "node")
-              .join(prints.withColumnRenamed("node", "v"), ["fingerprint", "n_shingles"])
+    prints = [f"p{i}" for i in range(PRINTS)]
+    seen = staged(_prints(docs, size).groupBy("_h", "_g").agg(
+        F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in (*prints, "n_shingles")])
+        .withColumn("node", F.struct(F.col("least").isNull().alias("none"), "least", "_h", "_g"))
+        .withColumn("id", F.xxhash64("p0", "n_shingles")))
+    kinds = staged(seen.groupBy("id").agg(F.min(F.struct("node", "n_shingles", *prints)).alias("k")).select("id", "k.*"))
+    ends = [kinds.select(F.col("id").alias(i), F.col("node").alias(v), F.col("n_shingles").alias(n))
+            for i, v, n in (("id", "u", "u_n"), ("other", "v", "v_n"))]
+    across = (_close(kinds.select("id", *prints)).join(ends[0], "id").join(ends[1], "other")
+              .where("least(u_n, v_n) * 1.25 >= greatest(u_n, v_n)").select("u", "v"))
+    # texts of one first fingerprint and length: each against the first
+    within = (seen.select("id", "node").join(ends[1].withColumnRenamed("other", "id"), "id")
               .where("node <> v").select(F.col("node").alias("u"), "v"))
     pairs = staged(stack(across, within).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     nodes = stack(pairs.select(F.col("u").alias("node")), pairs.select(F.col("v").alias("node"))).distinct()
