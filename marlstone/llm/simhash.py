@@ -33,7 +33,7 @@ from marlstone.session import stack, staged
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and number of bits
 PAIRED = 64  # larger keys are linked by the exact linear way
-PRINTS = 3  # independent fingerprints of near_texts
+PRINTS = 4  # independent fingerprints of near_texts
 MOST_BITS = 19  # candidates of near_texts: expected bits at similarity 0.8 are 10, of unrelated texts 32
 
 
@@ -176,7 +176,13 @@ def _remixed(hashes: np.ndarray, number: int) -> np.ndarray:
 
 
 def _pairs_of_segments(parts):
-    """``key, id, proof``: keys of two segments each, up to 108 for a fingerprint, with another fingerprint to compare."""
+    """``key, id, proof``: keys of two segments each, with another fingerprint to compare.
+
+    One of the two code words is the nearest of its segment, so a fingerprint has up to
+    33 keys; more fingerprints find more than all 108 of one would.
+    """
+    nearest = np.zeros((golay.MOST_KEYS, golay.MOST_KEYS), dtype=bool)
+    nearest[0], nearest[:, 0] = True, True
     for part in parts:
         ids = part.column(0).to_numpy(zero_copy_only=False)
         prints = [part.column(1 + i).to_numpy(zero_copy_only=False) for i in range(PRINTS)]
@@ -185,7 +191,7 @@ def _pairs_of_segments(parts):
             found = [golay.keys(s).astype(np.int64) for s in _segments(prints[number].view(np.uint64))]
             for i, j in ((0, 1), (0, 2), (1, 2)):
                 both = (found[i][:, :, None] << 12 | found[j][:, None, :]).reshape(len(ids), -1)
-                good = ((found[i][:, :, None] >= 0) & (found[j][:, None, :] >= 0)).reshape(len(ids), -1)
+                good = (nearest & (found[i][:, :, None] >= 0) & (found[j][:, None, :] >= 0)).reshape(len(ids), -1)
                 row, _ = np.nonzero(good)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array((both[good] << 2 | i + j - 1) << 2 | number), pa.array(ids[row]), pa.array(proof[row])],
