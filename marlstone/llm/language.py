@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import fold
+from marlstone.llm.common import fold, join_safe
+from marlstone.session import staged
 
 DIM, ORDERS = 4096, (1, 2, 3, 4)
 SAMPLE = 4000  # labelled documents that the machines are fitted on, at most
@@ -141,10 +142,14 @@ def training_rows(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``lang, text``: at most ``sample`` labelled documents outside the held-out fold, as many of each language."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
                        & (fold(F.col("doc_id"), FOLDS) != HELD_OUT_FOLD))
-    languages = known.select("lang").distinct().count()
-    place = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
-    picked = known.select("lang", "doc_id", "text").withColumn("_place", F.row_number().over(place))
-    return picked.where(F.col("_place") <= max(1, sample // max(1, languages))).select("lang", "text")
+    known = known.select("lang", "text", F.xxhash64("doc_id", "text").alias("_order"))
+    counts = staged(known.groupBy("lang").agg(F.count("*").alias("n"), F.min("_order").alias("least")))
+    each = max(1, sample // max(1, counts.count()))
+    # the rows that come first have small hashes: only twice as many as wanted are shuffled, whatever the table's size
+    reach = F.greatest(F.col("least").cast("double"), F.lit(-2.0 ** 63) + F.lit(2.0 ** 65 * each) / F.col("n"))
+    some = join_safe(known, counts, ["lang"]).where(F.col("_order").cast("double") <= reach)
+    place = Window.partitionBy("lang").orderBy("_order")
+    return some.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= each).select("lang", "text")
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
