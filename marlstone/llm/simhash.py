@@ -145,7 +145,7 @@ def simhash_components(docs: DataFrame, size: int = 3, paired: int = PAIRED) ->
 
 
 def _prints(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, _h, _g``, one long per independent fingerprint (``p0``, ``p1``, ...) and ``n_shingles``."""
+    """``doc_id, _h, _g``, a long per independent fingerprint (``p0``, ``p1``, ...) of the distinct shingles, ``n_shingles``."""
     key = ("doc_id", "_h", "_g")
     kept = docs.select(*key[:1], *text_key(F.col("text")), "text")
     names = [*key, *[f"p{i}" for i in range(PRINTS)], "n_shingles"]
@@ -155,8 +155,7 @@ def _prints(docs: DataFrame, size: int) -> DataFrame:
 
     def run(parts):
         for part in parts:
-            tokens = (byte_words(t.as_py()) for t in part.column(3))
-            found = [(*several(t, size), max(len(t) - size + 1, min(len(t), 1))) for t in tokens]
+            found = [several(byte_words(t.as_py()), size) for t in part.column(3)]
             values = np.array(found, dtype=np.int64).reshape(-1, PRINTS + 1)
             yield pa.RecordBatch.from_arrays([*part.columns[:3], *map(pa.array, np.ascontiguousarray(values.T))], names=names)
 
@@ -164,9 +163,9 @@ def _prints(docs: DataFrame, size: int) -> DataFrame:
 
 
 def several(tokens: list[bytes], size: int) -> list[int]:
-    """``PRINTS`` independent fingerprints: of the hashes and of remixed hashes."""
-    hashes = hashed(shingles(tokens, size))
-    return [_majority(hashes if not i else _remixed(hashes, i)) for i in range(PRINTS)]
+    """``PRINTS`` independent fingerprints, of the distinct hashes and of remixed hashes, and the number of distinct hashes."""
+    hashes = np.unique(hashed(shingles(tokens, size)))
+    return [*(_majority(hashes if not i else _remixed(hashes, i)) for i in range(PRINTS)), len(hashes)]
 
 
 def _remixed(hashes: np.ndarray, number: int) -> np.ndarray:
