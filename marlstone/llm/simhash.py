@@ -35,6 +35,7 @@ SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and number of bits
 PAIRED = 64  # larger keys are linked by the exact linear way
 PRINTS = 4  # independent fingerprints of near_texts
 MOST_BITS = 19  # candidates of near_texts: expected bits at similarity 0.8 are 10, of unrelated texts 32
+MOST_OF_ALL = 72  # the same over all PRINTS fingerprints: 39 with a deviation of 6, and 128
 
 
 def fingerprint(tokens: list[bytes], size: int) -> int:
@@ -283,53 +284,77 @@ def _sets(size):
     return run
 
 
-def near_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``_h, _g, node, root``: distinct texts that have a near duplicate, with the smallest node of their group.
-
-    A node is a distinct text, named by its smallest ``doc_id`` and its key (null ids
-    come last). Texts meet when in one of ``PRINTS`` independent fingerprints two of
-    three segments decode to a common code word; each is then compared with the
-    leaders of the key (see ``_led``), so copies cost one comparison each and
-    strangers under the same key hide nobody. Candidates differ in at most
-    ``MOST_BITS`` bits of another fingerprint and are within a factor of 1.25 in
-    length. A link stands if the Jaccard similarity of the shingle sets is at
-    least ``similarity``.
-    """
+def _candidates(docs: DataFrame, size: int) -> DataFrame:
+    """``u, v``: nodes of texts whose shingle sets are worth comparing (see ``near_texts``)."""
     prints = [f"p{i}" for i in range(PRINTS)]
     seen = staged(_prints(docs, size).groupBy("_h", "_g").agg(
         F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in (*prints, "n_shingles")])
-        .withColumn("node", F.struct(F.col("least").isNull().alias("none"), "least", "_h", "_g"))
-        .withColumn("id", F.xxhash64("p0", "n_shingles")))
+        .withColumn("node", _node(F.col("least"))).withColumn("id", F.xxhash64("p0", "n_shingles")))
     kinds = staged(seen.groupBy("id").agg(F.min(F.struct("node", "n_shingles", *prints)).alias("k")).select("id", "k.*"))
-    ends = [kinds.select(F.col("id").alias(i), F.col("node").alias(v), F.col("n_shingles").alias(n))
-            for i, v, n in (("id", "u", "u_n"), ("other", "v", "v_n"))]
-    across = (_close(kinds.select("id", *prints)).join(ends[0], "id").join(ends[1], "other")
-              .where("least(u_n, v_n) * 1.25 >= greatest(u_n, v_n)").select("u", "v"))
+    left, right = (kinds.select(F.col("id").alias(i), F.struct("node", "n_shingles", *prints).alias(v))
+                   for i, v in (("id", "a"), ("other", "b")))
+    bits = " + ".join(f"bit_count(a.{p} ^ b.{p})" for p in prints)
+    across = (_close(kinds.select("id", *prints)).join(left, "id").join(right, "other")
+              .where("least(a.n_shingles, b.n_shingles) * 1.25 >= greatest(a.n_shingles, b.n_shingles)")
+              .where(f"{bits} <= {MOST_OF_ALL}").select(F.col("a.node").alias("u"), F.col("b.node").alias("v")))
     # texts of one first fingerprint and length: each against the first
-    within = (seen.select("id", "node").join(ends[1].withColumnRenamed("other", "id"), "id")
+    within = (seen.select("id", "node").join(right.select(F.col("other").alias("id"), F.col("b.node").alias("v")), "id")
               .where("node <> v").select(F.col("node").alias("u"), "v"))
-    pairs = staged(stack(across, within).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-    nodes = stack(pairs.select(F.col("u").alias("node")), pairs.select(F.col("v").alias("node"))).distinct()
-    wanted = nodes.select(F.col("node._h").alias("_h"), F.col("node._g").alias("_g"), "node")
-    texts = docs.select(*text_key(F.col("text")), "text", "doc_id")
-    texts = texts.join(wanted, (texts["_h"] == wanted["_h"]) & (texts["_g"] == wanted["_g"])
-                       & texts["doc_id"].eqNullSafe(wanted["node.least"])).select("node", "text").dropDuplicates(["node"])
+    return staged(stack(across, within).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+
+
+def _node(doc_id):
+    return F.struct(doc_id.isNull().alias("none"), doc_id.alias("least"), F.col("_h"), F.col("_g"))
+
+
+def _firsts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The first document of each distinct text: ``_h, _g, row`` (all its columns), ``paired`` (whether ``pairs`` has it).
+
+    Spark keeps one row of each text in every task before the shuffle, and the join stays in that partitioning.
+    """
+    key = text_key(F.col("text"))
+    first = Window.partitionBy("_h", "_g").orderBy(F.col("row.doc_id").asc_nulls_last())
+    alone = (docs.select(*key, F.struct(*docs.columns).alias("row"))
+             .withColumn("place", F.row_number().over(first)).where("place = 1").drop("place"))
+    nodes = stack(pairs.select("u._h", "u._g"), pairs.select("v._h", "v._g")).distinct().withColumn("paired", F.lit(True))
+    return alone.join(nodes, ["_h", "_g"], "left").withColumn("paired", F.col("paired").isNotNull())
+
+
+def _grouped(pairs: DataFrame, firsts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """``node, root``: groups of the pairs whose shingle sets are as similar as asked for."""
+    texts = firsts.where("paired").select(_node(F.col("row.doc_id")).alias("node"), F.col("row.text").alias("text"))
     sets = staged(texts.mapInArrow(_sets(size), texts.select("node").schema.add("set", T.ArrayType(T.LongType()))))
     linked = (pairs.join(sets.select(F.col("node").alias("u"), F.col("set").alias("a_set")), "u")
               .join(sets.select(F.col("node").alias("v"), F.col("set").alias("b_set")), "v"))
     linked = linked.mapInArrow(_jaccard, pairs.schema.add("similarity", "double")).where(F.col("similarity") >= similarity)
-    return components(linked.select("u", "v")).select(F.col("node._h").alias("_h"), F.col("node._g").alias("_g"),
-                                                      "node", "root")
+    return components(linked.select("u", "v"))
+
+
+def near_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``_h, _g, node, root``: distinct texts that have a near duplicate, with the smallest node of their group.
+
+    A node is a distinct text, named by its smallest ``doc_id`` and its key (null ids
+    come last). Texts meet when in one of ``PRINTS`` independent fingerprints two of
+    three segments decode to a common code word; each is then compared with the
+    leaders of the key (see ``_led``), so copies cost one comparison each and
+    strangers under the same key hide nobody. Candidates differ in at most
+    ``MOST_BITS`` bits of another fingerprint and ``MOST_OF_ALL`` bits of all; their
+    sets are within a factor of 1.25 in size, as they must be. A link stands if the
+    Jaccard similarity of the shingle sets is at least ``similarity``.
+    """
+    pairs = _candidates(docs, size)
+    return _grouped(pairs, _firsts(docs, pairs), size, similarity).select("node._h", "node._g", "node", "root")
 
 
 def one_of_each(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one document left of each group of exact or near duplicates: that of the smallest ``doc_id``.
 
-    Columns stay as they are. Null and empty texts are one group; of rows alike in
-    id and text one stays.
+    Columns stay as they are, whatever their names. Null and empty texts are one
+    group; of rows alike in id and text one stays. Texts are shuffled once, to find
+    the first of each; those without a candidate pair then pass without a join.
     """
-    gone = near_texts(docs, size, similarity).where("node <> root").select("_h", "_g")
-    keyed = docs.withColumns({"_h": text_key(F.col("text"))[0], "_g": text_key(F.col("text"))[1]})
-    first = Window.partitionBy("_h", "_g").orderBy(F.col("doc_id").asc_nulls_last())
-    kept = keyed.withColumn("_place", F.row_number().over(first)).where("_place = 1")
-    return kept.join(gone, ["_h", "_g"], "left_anti").select(*docs.columns)
+    pairs = _candidates(docs, size)
+    firsts = staged(_firsts(docs, pairs), "zstd")
+    gone = _grouped(pairs, firsts, size, similarity).where("node <> root").select("node._h", "node._g")
+    left = firsts.where("paired").join(gone, ["_h", "_g"], "left_anti")
+    return stack(firsts.where("not paired").select("row.*"), left.select("row.*"))
