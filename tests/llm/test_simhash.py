@@ -148,3 +148,17 @@ def test_meetings_do_not_depend_on_batches(cuts):
              if keys[a] == keys[b] and (int(proofs[a] ^ proofs[b]) & (1 << 64) - 1).bit_count() <= 2]
     assert components(range(300), edges) == components(range(300), truth)
     assert {r["key"] for r in rows if r["other"] is None} == {keys[0], keys[-1]}
+
+
+def test_one_of_each_with_clashing_names_and_repeated_lines(spark):
+    """Columns named like the working ones come back as they were; a line repeated in one copy parts no pair."""
+    rng = np.random.default_rng(8)
+    base = " ".join(f"w{int(x)}" for x in rng.integers(0, 5000, 200))
+    line = " ".join(f"x{i}" for i in range(8))
+    rows = [(1, f"{base} {line}", 10, "a", True), (2, f"{base} " + f"{line} " * 300, 20, "b", False),
+            (3, " ".join(f"v{int(x)}" for x in rng.integers(0, 5000, 200)), 30, None, None)]
+    assert jaccard(rows[0][1], rows[1][1]) >= 0.9
+    df = spark.createDataFrame(rows, "doc_id long, text string, _h int, row string, paired boolean")
+    out = simhash.one_of_each(df)
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect())) == [rows[0], rows[2]]
