@@ -100,9 +100,10 @@ def latency_summary(spark, sf):
     return out.select("method", "trials", *[F.round(c, 6).alias(c) for c in ("mean", "p99", "ratio")])
 
 
-def _verdicts(spark, sf) -> DataFrame:
+def _verdicts(spark, sf, docs: DataFrame | None = None) -> DataFrame:
     """Labels as verdicts, grouped into questions by the source of the document."""
-    judged = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id")
+    docs = table(spark, sf, "documents") if docs is None else docs
+    judged = table(spark, sf, "labels").join(docs.select("doc_id", "source"), "doc_id")
     return judged.select(F.col("source").alias("query_id"), F.explode(F.array(
         F.struct(F.lit("faithfulness").alias("metric"), (F.col("quality") == 1).alias("verdict")),
         F.struct(F.lit("context_precision").alias("metric"), (F.col("toxic") == 0).alias("verdict")),
@@ -117,10 +118,8 @@ def judged_metrics(spark, sf):
 
 def eval_report(spark, sf):
     """English documents as the new run, all documents as the baseline; one metric is missing."""
-    english = table(spark, sf, "documents").filter(F.col("lang") == "en").select("source").distinct()
-    run = ev.judged_metrics(_verdicts(spark, sf).join(
-        english.withColumnRenamed("source", "query_id"), "query_id", "left_semi").filter(
-        F.col("query_id") != "src0"))
+    english = table(spark, sf, "documents").filter(F.col("lang") == "en")
+    run = ev.judged_metrics(_verdicts(spark, sf, english))
     out = ev.threshold_report(run, ev.judged_metrics(_verdicts(spark, sf)))
     return out.select("metric", "threshold", "status", *[F.round(c, 6).alias(c) for c in ("score", "baseline", "delta")])
 
@@ -236,8 +235,12 @@ FROM events GROUP BY event_type""",
     "judged_metrics": f"WITH {_VERDICTS} SELECT metric, round(score, 6) AS score FROM judged",
     "eval_report": f"""
 WITH {_VERDICTS},
-run AS (SELECT metric, avg(s) AS score FROM (SELECT metric, query_id, avg(v) AS s FROM verdicts
-  WHERE query_id IN (SELECT source FROM documents WHERE lang = 'en') AND query_id <> 'src0' GROUP BY ALL) GROUP BY metric),
+judged_en AS (SELECT source AS query_id, quality = 1 AS good, toxic = 0 AS clean
+  FROM labels JOIN documents USING (doc_id) WHERE lang = 'en'),
+run AS (SELECT metric, avg(s) AS score FROM (SELECT metric, query_id, avg(CAST(v AS INTEGER)) AS s FROM (
+  SELECT query_id, 'faithfulness' AS metric, good AS v FROM judged_en
+  UNION ALL SELECT query_id, 'context_precision', clean FROM judged_en
+  UNION ALL SELECT query_id, 'context_recall', good AND clean FROM judged_en) GROUP BY ALL) GROUP BY metric),
 t(metric, threshold) AS (VALUES ('faithfulness', 0.8::DOUBLE), ('answer_relevancy', 0.8::DOUBLE),
   ('context_precision', 0.7::DOUBLE), ('context_recall', 0.7::DOUBLE))
 SELECT t.metric, threshold, CASE WHEN coalesce(r.score, 0) >= threshold THEN 'PASS' ELSE 'FAIL' END AS status,
