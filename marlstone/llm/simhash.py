@@ -36,6 +36,8 @@ PAIRED = 64  # larger keys are linked by the exact linear way
 PRINTS = 4  # independent fingerprints of near_texts
 MOST_BITS = 19  # candidates of near_texts: expected bits at similarity 0.8 are 10, of unrelated texts 32
 MOST_OF_ALL = 72  # the same over all PRINTS fingerprints: 39 with a deviation of 6, and 128
+TILE = 4096  # keys of more rows are cut into tiles of about so many; all pairs of a key stay covered
+SAMPLED = 16  # one of so many texts tells which keys are that large
 
 
 def fingerprint(tokens: list[bytes], size: int) -> int:
@@ -176,7 +178,7 @@ def _remixed(hashes: np.ndarray, number: int) -> np.ndarray:
 
 
 def _pairs_of_segments(parts):
-    """``key, id, proof``: keys of two segments each, with another fingerprint to compare.
+    """``key, id, proof``: keys of two segments each, with another fingerprint to compare; columns after the prints go along.
 
     One of the two code words is the nearest of its segment, so a fingerprint has up to
     33 keys; more fingerprints find more than all 108 of one would.
@@ -186,6 +188,7 @@ def _pairs_of_segments(parts):
     for part in parts:
         ids = part.column(0).to_numpy(zero_copy_only=False)
         prints = [part.column(1 + i).to_numpy(zero_copy_only=False) for i in range(PRINTS)]
+        along = {name: part.column(name) for name in part.schema.names[1 + PRINTS:]}
         for number in range(PRINTS):
             proof = prints[(number + 1) % PRINTS]
             found = [golay.keys(s).astype(np.int64) for s in _segments(prints[number].view(np.uint64))]
@@ -194,8 +197,8 @@ def _pairs_of_segments(parts):
                 good = (nearest & (found[i][:, :, None] >= 0) & (found[j][:, None, :] >= 0)).reshape(len(ids), -1)
                 row, _ = np.nonzero(good)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((both[good] << 2 | i + j - 1) << 2 | number), pa.array(ids[row]), pa.array(proof[row])],
-                    names=["key", "id", "proof"])
+                    [pa.array((both[good] << 2 | i + j - 1) << 2 | number), pa.array(ids[row]), pa.array(proof[row]),
+                     *[c.take(pa.array(row)) for c in along.values()]], names=["key", "id", "proof", *along])
 
 
 def _led(keys, ids, proofs):
@@ -263,6 +266,94 @@ def _close(kinds: DataFrame) -> DataFrame:
     return stack(found, across).where("other is not null").select("id", "other").distinct()
 
 
+LEFT, RIGHT, BOTH = 0, 1, 2
+
+
+def _apart(parts):
+    """Rows (``tile, id, proof, root, side``) come sorted by tile. Yields ``id, other`` of all rows of a tile
+    that are close and have different roots; a left one meets right ones only."""
+    held = None
+    for part in _and_end(parts):
+        columns = [c.to_numpy(zero_copy_only=False) for c in part.columns] if part is not None else None
+        if columns is not None:
+            if not part.num_rows:
+                continue
+            columns = columns if held is None else [np.concatenate(c) for c in zip(held, columns)]
+            whole = np.searchsorted(columns[0], columns[0][-1])  # the last tile may go on in the next batch
+            held, columns = [c[whole:] for c in columns], [c[:whole] for c in columns]
+        elif held is None:
+            return
+        else:
+            columns = held
+        tiles, ids, proofs, roots, sides = columns
+        proofs = proofs.view(np.uint64)
+        found, rows, step = [np.zeros((0, 2), np.int64)], np.arange(len(tiles)), 0
+        while len(rows):
+            step += 1
+            rows = rows[rows + step < len(tiles)]
+            rows = rows[tiles[rows] == tiles[rows + step]]
+            other = rows + step
+            met = (roots[rows] != roots[other]) & (np.bitwise_count(proofs[rows] ^ proofs[other]) <= MOST_BITS)
+            met &= (sides[rows] != sides[other]) | (sides[rows] == BOTH)
+            a, b = ids[rows[met]], ids[other[met]]
+            found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["id", "other"])
+
+
+def _and_end(parts):
+    yield from parts
+    yield None
+
+
+def _missed(seen: DataFrame, roots: DataFrame) -> DataFrame:
+    """``u, v``: nodes of all texts that share a key, are close, and have different roots so far.
+
+    Nothing is led here: every pair of rows of a key with different roots is looked at.
+    A key of many rows is cut into tiles. Its rows that do not have its most
+    frequent root stand left against all rows, so a large group that is linked
+    already costs as many looks as it has rows, times the number of strangers.
+    """
+    prints = [f"p{i}" for i in range(PRINTS)]
+    kinds = staged(seen.join(roots, "node", "left").select(
+        "node", "n_shingles", *prints, F.xxhash64("node").alias("id"),
+        F.xxhash64(F.coalesce("root", "node")).alias("root")))
+    def keyed(rows):
+        return rows.select("id", *prints, "root").mapInArrow(
+            _pairs_of_segments, "key long, id long, proof long, root long")
+
+    of_key = (keyed(kinds.where(F.pmod("id", F.lit(SAMPLED)) == 0)).groupBy("key", "root").agg(F.count("*").alias("n"))
+              .groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("most")))
+    blocks = lambda n: F.ceil(n * SAMPLED / TILE)
+    large = staged(of_key.where(F.col("n") * SAMPLED > TILE).select(
+        "key", F.col("most.root").alias("most"), blocks(F.col("n")).alias("rights"),
+        F.greatest(blocks(F.col("n") - F.col("most.n")), F.lit(1)).alias("lefts")))
+    at = lambda n: F.pmod(F.xxhash64("id", "key"), F.col(n))
+    cell = lambda i, j, side: F.struct(
+        F.xxhash64("key", i.cast("long"), j.cast("long")).alias("tile"), F.lit(side).alias("side"))
+    lefts = F.when(F.col("root") != F.col("most"), F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("rights") - 1), lambda j: cell(at("lefts"), j, LEFT))).otherwise(F.array())
+    rights = F.transform(F.sequence(F.lit(0).cast("long"), F.col("lefts") - 1), lambda i: cell(i, at("rights"), RIGHT))
+    tiles = F.when(F.col("most").isNull(), F.array(F.struct(F.col("key").alias("tile"), F.lit(BOTH).alias("side")))).otherwise(
+        F.concat(lefts, rights))
+    dealt = keyed(kinds)
+    if not large.isEmpty():
+        dealt = dealt.join(large, "key", "left").select("id", "proof", "root", F.explode(tiles).alias("t")).select(
+            "t.tile", "id", "proof", "root", "t.side")
+    else:
+        dealt = dealt.select(F.col("key").alias("tile"), "id", "proof", "root", F.lit(BOTH).alias("side"))
+    met = dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(_apart, "id long, other long").distinct()
+    left, right = (kinds.select(F.col("id").alias(i), F.struct("node", "n_shingles", *prints).alias(v))
+                   for i, v in (("id", "a"), ("other", "b")))
+    return _screened(met.join(left, "id").join(right, "other"))
+
+
+def _screened(met: DataFrame) -> DataFrame:
+    bits = " + ".join(f"bit_count(a.p{i} ^ b.p{i})" for i in range(PRINTS))
+    return (met.where("least(a.n_shingles, b.n_shingles) * 1.25 >= greatest(a.n_shingles, b.n_shingles)")
+            .where(f"{bits} <= {MOST_OF_ALL}").select(F.col("a.node").alias("u"), F.col("b.node").alias("v")))
+
+
 def _jaccard(parts):
     for part in parts:
         left, right = part.column("a_set"), part.column("b_set")
@@ -284,19 +375,21 @@ def _sets(size):
     return run
 
 
-def _candidates(docs: DataFrame, size: int) -> DataFrame:
-    """``u, v``: nodes of texts whose shingle sets are worth comparing (see ``near_texts``)."""
+def _seen(docs: DataFrame, size: int) -> DataFrame:
+    """Every distinct text: ``node``, its fingerprints and ``n_shingles``; ``id`` is alike where the first of them and the number are."""
     prints = [f"p{i}" for i in range(PRINTS)]
-    seen = staged(_prints(docs, size).groupBy("_h", "_g").agg(
+    return staged(_prints(docs, size).groupBy("_h", "_g").agg(
         F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in (*prints, "n_shingles")])
         .withColumn("node", _node(F.col("least"))).withColumn("id", F.xxhash64("p0", "n_shingles")))
+
+
+def _candidates(seen: DataFrame) -> DataFrame:
+    """``u, v``: nodes of texts whose shingle sets are compared first (see ``near_texts``)."""
+    prints = [f"p{i}" for i in range(PRINTS)]
     kinds = staged(seen.groupBy("id").agg(F.min(F.struct("node", "n_shingles", *prints)).alias("k")).select("id", "k.*"))
     left, right = (kinds.select(F.col("id").alias(i), F.struct("node", "n_shingles", *prints).alias(v))
                    for i, v in (("id", "a"), ("other", "b")))
-    bits = " + ".join(f"bit_count(a.{p} ^ b.{p})" for p in prints)
-    across = (_close(kinds.select("id", *prints)).join(left, "id").join(right, "other")
-              .where("least(a.n_shingles, b.n_shingles) * 1.25 >= greatest(a.n_shingles, b.n_shingles)")
-              .where(f"{bits} <= {MOST_OF_ALL}").select(F.col("a.node").alias("u"), F.col("b.node").alias("v")))
+    across = _screened(_close(kinds.select("id", *prints)).join(left, "id").join(right, "other"))
     # texts of one first fingerprint and length: each against the first
     within = (seen.select("id", "node").join(right.select(F.col("other").alias("id"), F.col("b.node").alias("v")), "id")
               .where("node <> v").select(F.col("node").alias("u"), "v"))
@@ -316,18 +409,33 @@ def _firsts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     first = Window.partitionBy("_h", "_g").orderBy(F.col("row.doc_id").asc_nulls_last())
     alone = (docs.select(*key, F.struct(*docs.columns).alias("row"))
              .withColumn("place", F.row_number().over(first)).where("place = 1").drop("place"))
-    nodes = stack(pairs.select("u._h", "u._g"), pairs.select("v._h", "v._g")).distinct().withColumn("paired", F.lit(True))
+    nodes = _nodes(pairs).withColumn("paired", F.lit(True))
     return alone.join(nodes, ["_h", "_g"], "left").withColumn("paired", F.col("paired").isNotNull())
 
 
-def _grouped(pairs: DataFrame, firsts: DataFrame, size: int, similarity: float) -> DataFrame:
-    """``node, root``: groups of the pairs whose shingle sets are as similar as asked for."""
-    texts = firsts.where("paired").select(_node(F.col("row.doc_id")).alias("node"), F.col("row.text").alias("text"))
+def _links(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """``u, v``: the pairs whose shingle sets are as similar as asked for; ``texts`` has the ``row`` of every node."""
+    texts = texts.select(_node(F.col("row.doc_id")).alias("node"), F.col("row.text").alias("text"))
     sets = staged(texts.mapInArrow(_sets(size), texts.select("node").schema.add("set", T.ArrayType(T.LongType()))))
     linked = (pairs.join(sets.select(F.col("node").alias("u"), F.col("set").alias("a_set")), "u")
               .join(sets.select(F.col("node").alias("v"), F.col("set").alias("b_set")), "v"))
-    linked = linked.mapInArrow(_jaccard, pairs.schema.add("similarity", "double")).where(F.col("similarity") >= similarity)
-    return components(linked.select("u", "v"))
+    linked = linked.mapInArrow(_jaccard, pairs.schema.add("similarity", "double"))
+    return staged(linked.where(F.col("similarity") >= similarity).select("u", "v"))
+
+
+def _grouped(seen: DataFrame, pairs: DataFrame, firsts: DataFrame, size: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """``node, root`` of all links, and the nodes (``_h, _g``) of the links that ``pairs`` did not have."""
+    roots = components(_links(pairs, firsts.where("paired"), size, similarity))
+    missed = staged(_missed(seen, roots))
+    nodes = staged(_nodes(missed))
+    more = _links(missed, firsts.join(nodes, ["_h", "_g"]), size, similarity)
+    if not more.isEmpty():
+        roots = components(stack(roots.select(F.col("node").alias("u"), F.col("root").alias("v")), more))
+    return roots, staged(_nodes(more))
+
+
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return stack(pairs.select("u._h", "u._g"), pairs.select("v._h", "v._g")).distinct()
 
 
 def near_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -335,15 +443,19 @@ def near_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataF
 
     A node is a distinct text, named by its smallest ``doc_id`` and its key (null ids
     come last). Texts meet when in one of ``PRINTS`` independent fingerprints two of
-    three segments decode to a common code word; each is then compared with the
-    leaders of the key (see ``_led``), so copies cost one comparison each and
-    strangers under the same key hide nobody. Candidates differ in at most
+    three segments decode to a common code word; each is first compared with the
+    leaders of the key (see ``_led``), so copies cost one comparison each. A leader
+    may be close in bits and yet not similar enough, so all pairs of a key that
+    these links leave in different groups are then compared too (see ``_missed``):
+    no text of a key hides another. Candidates differ in at most
     ``MOST_BITS`` bits of another fingerprint and ``MOST_OF_ALL`` bits of all; their
     sets are within a factor of 1.25 in size, as they must be. A link stands if the
     Jaccard similarity of the shingle sets is at least ``similarity``.
     """
-    pairs = _candidates(docs, size)
-    return _grouped(pairs, _firsts(docs, pairs), size, similarity).select("node._h", "node._g", "node", "root")
+    seen = _seen(docs, size)
+    pairs = _candidates(seen)
+    roots, _ = _grouped(seen, pairs, staged(_firsts(docs, pairs), "zstd"), size, similarity)
+    return roots.select("node._h", "node._g", "node", "root")
 
 
 def one_of_each(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -351,10 +463,14 @@ def one_of_each(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Data
 
     Columns stay as they are, whatever their names. Null and empty texts are one
     group; of rows alike in id and text one stays. Texts are shuffled once, to find
-    the first of each; those without a candidate pair then pass without a join.
+    the first of each; those without a candidate pair then meet the texts of the late links only.
     """
-    pairs = _candidates(docs, size)
+    seen = _seen(docs, size)
+    pairs = _candidates(seen)
     firsts = staged(_firsts(docs, pairs), "zstd")
-    gone = _grouped(pairs, firsts, size, similarity).where("node <> root").select("node._h", "node._g")
+    roots, late = _grouped(seen, pairs, firsts, size, similarity)
+    gone = roots.where("node <> root").select("node._h", "node._g")
+    late = staged(late.join(gone, ["_h", "_g"], "left_semi"))
     left = firsts.where("paired").join(gone, ["_h", "_g"], "left_anti")
-    return stack(firsts.where("not paired").select("row.*"), left.select("row.*"))
+    alone = firsts.where("not paired").join(late, ["_h", "_g"], "left_anti")
+    return stack(alone.select("row.*"), left.select("row.*"))

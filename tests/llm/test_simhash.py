@@ -162,3 +162,59 @@ def test_one_of_each_with_clashing_names_and_repeated_lines(spark):
     out = simhash.one_of_each(df)
     assert out.columns == df.columns
     assert sorted(map(tuple, out.collect())) == [rows[0], rows[2]]
+
+
+def edits_of_one():
+    """An original and 500 copies with five words of their own: 0.84 to the original, less than 0.8 to each other."""
+    rng = np.random.default_rng(21)
+    base = [f"w{int(x)}" for x in rng.integers(0, 5000, 300)]
+    rows = [(1000, " ".join(base))]
+    for c in range(500):
+        words = list(base)
+        for i, at in enumerate(rng.choice(np.arange(5, 295), 5, replace=False)):
+            words[at] = f"c{c}x{i}"
+        rows.append((c, " ".join(words)))
+    return rows
+
+
+def test_copies_of_one_original_are_one_group(spark):
+    """Every pair that shares a key is linked or checked, though each key is led by some copy below 0.8 to the others."""
+    rows = edits_of_one()
+    assert all(0.83 <= jaccard(rows[0][1], t) <= 0.9 for _, t in rows[1:20])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = simhash._seen(df, 5).select("node.least", *[f"p{i}" for i in range(simhash.PRINTS)]).collect()
+    keys = {}
+    for r in seen:
+        part = pa.RecordBatch.from_arrays([pa.array([v]) for v in r], names=["id", "p0", "p1", "p2", "p3"])
+        keys[r.least] = {k: int(p) for b in simhash._pairs_of_segments([part])
+                         for k, p in zip(b.column(0).to_pylist(), b.column(2).to_pylist())}
+    prints = {r.least: [int(v) for v in r[1:]] for r in seen}
+    ones = lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count()
+    texts = dict(rows)
+    truth = [(1000, c) for c in range(500) if any(ones(keys[1000][k], keys[c][k]) <= simhash.MOST_BITS for k in keys[1000].keys() & keys[c].keys())
+             and sum(map(ones, prints[1000], prints[c])) <= simhash.MOST_OF_ALL and jaccard(texts[1000], texts[c]) >= 0.8]
+    roots = {r.node.least: r.root for r in simhash.near_texts(df).collect()}
+    assert len(truth) > 450 and len({roots.get(c, c) for pair in truth for c in pair}) == 1
+
+
+@pytest.mark.parametrize("cuts", [[], [7, 7, 40], list(range(5, 300, 5))])
+def test_apart_meets_all_pairs_of_different_roots(cuts):
+    rng = np.random.default_rng(4)
+    tiles = np.sort(rng.integers(0, 12, 300))
+    proofs = rng.integers(-1 << 62, 1 << 62, 4)[rng.integers(0, 4, 300)] ^ (1 << rng.integers(0, 60, 300))
+    roots, sides = rng.integers(0, 5, 300), np.where(tiles % 2, rng.integers(0, 2, 300), simhash.BOTH)
+    whole = pa.RecordBatch.from_arrays([*map(pa.array, (tiles, np.arange(300), proofs, roots, sides))],
+                                       names=["tile", "id", "proof", "root", "side"])
+    spans = list(zip([0, *cuts], [*cuts, 300]))
+    got = {(r["id"], r["other"]) for b in simhash._apart(whole.slice(a, b - a) for a, b in spans) for r in b.to_pylist()}
+    assert got == {(a, b) for a, b in combinations(range(300), 2) if tiles[a] == tiles[b] and roots[a] != roots[b]
+                   and (sides[a] == simhash.BOTH or sides[a] != sides[b])
+                   and (int(proofs[a] ^ proofs[b]) & (1 << 64) - 1).bit_count() <= simhash.MOST_BITS}
+
+
+def test_tiles_of_large_keys_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TILE", 64)
+    df = spark.createDataFrame(edits_of_one()[:200], "doc_id long, text string")
+    cut = {(r.node.least, r.root.least) for r in simhash.near_texts(df).collect()}
+    monkeypatch.setattr(simhash, "TILE", 1 << 30)
+    assert cut == {(r.node.least, r.root.least) for r in simhash.near_texts(df).collect()}
