@@ -3,9 +3,10 @@
 A seed is a fixed mask over a window of words; masked positions are ignored, so a
 substituted word there does not hide the window. The hashes of all windows of the
 benchmark under all masks are looked up by every window of every document, and each
-hit is verified: along its diagonal, the stretch with the most agreeing words
-(a substitution costs ``PENALTY``) counts as an overlap if it has at least
-``MATCHED`` equal words and they are at least ``IDENTITY`` of it.
+hit is verified: along its diagonal, a stretch counts as an overlap if it has at least
+``MATCHED`` equal words and they are at least ``IDENTITY`` of it. The best-scoring
+stretch (a substitution costs ``PENALTY``) is taken if it does; if not, the one with
+the most equal words among all stretches that do.
 
 The benchmark is the stated query set and is taken in blocks of bounded size: one
 block is sent to all tasks, and the documents are scanned once per block (one
@@ -92,10 +93,28 @@ class Block:
             end = int(np.argmax(score - low))
             begin = int(np.argmax(score[:end + 1] == low[end]))
             matched = int(equal[begin:end].sum())
-            if matched >= MATCHED and matched >= IDENTITY * (end - begin):
+            if matched < MATCHED or matched < IDENTITY * (end - begin):
+                begin, end = _most_equal(equal)
+                matched = int(equal[begin:end].sum())
+            if matched >= MATCHED:
                 yield item, offset + first - shift + begin, first + begin, end - begin, matched
 
 
+def _most_equal(equal: np.ndarray) -> tuple[int, int]:
+    """Begin and end of the stretch with the most equal words among all in which they are at least ``IDENTITY``.
+
+    With a substitution at ``IDENTITY / (1 - IDENTITY)`` these are the stretches of a score
+    from 0 on; for each end the first begin that is not above it has the most words.
+    """
+    cost = round(IDENTITY / (1 - IDENTITY))
+    score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -cost))])
+    count = np.concatenate([[0], np.cumsum(equal)])
+    begins = np.searchsorted(-np.minimum.accumulate(score), -score)
+    end = int(np.argmax(count - count[begins]))
+    inside = np.nonzero(equal[begins[end]:end])[0]
+    return (int(begins[end] + inside[0]), int(begins[end] + inside[-1]) + 1) if len(inside) else (0, 0)
+
+
 def _pieces(benchmark: DataFrame) -> DataFrame:
     kept = benchmark.select("item_id", "text")
     schema = kept.select("item_id").schema.add("offset", "long").add("words", T.ArrayType(T.LongType()))

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -253,6 +254,23 @@ def test_contamination(spark, odd):
     assert contamination.find_overlaps(docs.where("doc_id < 20"), one).count() == min(20, len(bench))
 
 
+def test_contamination_before_a_heavily_substituted_part():
+    """Twenty exact words count, whatever follows them on the same diagonal; every stretch is tried."""
+    own = contamination.word_hashes(" ".join(f"w{i}" for i in range(80)))
+    block = contamination.Block([(7, 0, own)])
+    kept = "T" * 20 + "TTFTTFTTTF" * 6
+    text = " ".join(f"w{i}" if k == "T" else f"other{i}" for i, k in enumerate(kept))
+    found = list(block.overlaps(contamination.word_hashes(text)))
+    assert [f[:3] for f in found] == [(7, 0, 0)] and found[0][4] >= 20 and found[0][4] >= 0.8 * found[0][3]
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        equal = rng.random(int(rng.integers(0, 40))) < rng.choice([0.5, 0.7, 0.8])
+        spans = [(int(equal[a:b].sum()), a, b) for a in range(len(equal)) for b in range(a + 1, len(equal) + 1)]
+        most = max((n for n, a, b in spans if 5 * n >= 4 * (b - a)), default=0)
+        begin, end = contamination._most_equal(equal)
+        assert equal[begin:end].sum() == most and 5 * most >= 4 * (end - begin)
+
+
 def test_documents_that_hold_an_item(spark):
     docs, items = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "benchmark")
     texts, found = items.collect(), {(r.doc_id, r.item_id) for r in contamination.find_overlaps(docs, items).collect()}
