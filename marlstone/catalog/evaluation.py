@@ -74,11 +74,8 @@ def score_gap(spark, sf):
 
 
 def _holders(spark, sf) -> DataFrame:
-    """Documents among the first twenty that contain the passage's first 80 characters."""
-    top = fusion.with_text(lexical.bm25_search(r.corpus(spark, sf), r.questions(spark, sf), 20), r.corpus(spark, sf))
-    return top.join(_golden(spark, sf), "query_id").filter(
-        ev.is_relevant(F.col("content"), F.col("context"))).select(
-        "query_id", "chunk_id", F.lit(True).alias("holds")).distinct()
+    """All documents that hold the first 80 characters of a passage, or whose own first 80 a passage holds."""
+    return ev.holders(r.corpus(spark, sf), _golden(spark, sf)).withColumn("holds", F.lit(True))
 
 
 def score_histogram(spark, sf):

@@ -165,3 +165,18 @@ def test_null_texts_count_alike_on_both_ways(spark):
     scan = lexical.bm25_search(corpus, asked, 3).collect()
     stored = lexical.bm25_search(corpus, asked, 3, index=lexical.lexical_index(corpus)).collect()
     assert [(r.chunk_id, r.score) for r in scan] == [(r.chunk_id, r.score) for r in stored]
+
+
+def test_more_than_twenty_holders(spark):
+    """Every document that holds a passage is found, however many there are."""
+    from marlstone.operators import evaluation
+
+    passage = "a passage that many documents share " * 4
+    docs = [(f"d{i}", f"{i} words before {passage} and after") for i in range(30)]
+    docs += [("other", "nothing of the kind"), ("short", passage[:40]), ("none", None), ("empty", "")]
+    corpus = spark.createDataFrame(docs, "chunk_id string, content string")
+    golden = spark.createDataFrame([(1, passage), (2, "not in any text at all"), (3, None)], "query_id long, context string")
+    got = sorted(tuple(r) for r in evaluation.holders(corpus, golden).collect())
+    want = corpus.crossJoin(golden).filter(evaluation.is_relevant(F.col("content"), F.col("context")))
+    assert got == sorted(tuple(r) for r in want.select("query_id", "chunk_id").collect())
+    assert len([c for q, c in got if q == 1]) == 32
