@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from marlstone.llm import contamination, language, mixing, perspectives, quality, revisits, rules, simhash, tokens, urls
+from marlstone.llm import (
+    contamination, language, mixing, periods, perspectives, quality, revisits, rules, simhash, tokens, urls)
 from marlstone.llm.common import fold, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -58,7 +59,11 @@ def op10_contamination(spark, folder):
     return contamination.find_overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op12_periods(spark, folder):
+    return periods.digest(periods.find_runs(periods.with_planted_periods(table(spark, folder, "documents"))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_perspectives, op3_rules, op4_revisits, op5_simhash, op6_rans, op7_urls, op8_mixture, op9_language,
-    op10_contamination)}
+    op10_contamination, op12_periods)}
 SQL = {"op3_rules": rules.judge_sql()}
