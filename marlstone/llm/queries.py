@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from marlstone.llm import (
-    contamination, language, mixing, periods, perspectives, quality, revisits, rules, simhash, tokens, urls)
+    contamination, extraction, language, mixing, periods, perspectives, quality, revisits, rules, simhash, tokens, urls)
 from marlstone.llm.common import fold, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -63,7 +63,11 @@ def op12_periods(spark, folder):
     return periods.digest(periods.find_runs(periods.with_planted_periods(table(spark, folder, "documents"))))
 
 
+def op13_main_text(spark, folder):
+    return extraction.extract(table(spark, folder, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_perspectives, op3_rules, op4_revisits, op5_simhash, op6_rans, op7_urls, op8_mixture, op9_language,
-    op10_contamination, op12_periods)}
+    op10_contamination, op12_periods, op13_main_text)}
 SQL = {"op3_rules": rules.judge_sql()}
