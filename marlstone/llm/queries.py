@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from marlstone.llm import (
-    contamination, extraction, language, mixing, periods, perspectives, quality, revisits, rules, simhash, tokens, urls)
+    contamination, extraction, language, mixing, periods, perspectives, quality, revisits, rules, simhash, tokens, urls,
+    whitening)
 from marlstone.llm.common import fold, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -59,6 +60,10 @@ def op10_contamination(spark, folder):
     return contamination.find_overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_whitening(spark, folder):
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 def op12_periods(spark, folder):
     return periods.digest(periods.find_runs(periods.with_planted_periods(table(spark, folder, "documents"))))
 
@@ -69,5 +74,5 @@ def op13_main_text(spark, folder):
 
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_perspectives, op3_rules, op4_revisits, op5_simhash, op6_rans, op7_urls, op8_mixture, op9_language,
-    op10_contamination, op12_periods, op13_main_text)}
+    op10_contamination, op11_whitening, op12_periods, op13_main_text)}
 SQL = {"op3_rules": rules.judge_sql()}
