@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.operators.embedding import Embedder
+from marlstone.operators.quantiles import exact_percentiles
 from marlstone.operators.ranking import containment_pairs
 from marlstone.functions import vector as vx
 from marlstone.session import stack
@@ -125,9 +126,11 @@ def score_gap(scored: DataFrame, relevant: Column, score: str = "score") -> Data
 def latency_summary(times: DataFrame, method: str, seconds: str, baseline: str) -> DataFrame:
     """Mean and interpolated 99th percentile per method, and the mean relative to ``baseline``."""
     base = times.filter(F.col(method) == baseline).agg(F.avg(seconds)).scalar()
-    return times.groupBy(F.col(method).alias("method")).agg(
-        F.avg(seconds).alias("mean"), F.percentile(seconds, 0.99).alias("p99"),
-        F.count("*").alias("trials")).withColumn("ratio", F.col("mean") / base)
+    named = times.withColumn("method", F.col(method))
+    means = named.groupBy("method").agg(F.avg(seconds).alias("mean"), F.count("*").alias("trials"))
+    p99 = exact_percentiles(named, seconds, [0.99], ["method"]).select(F.col("method").alias("_m"), F.col("percentile").alias("p99"))
+    return means.join(p99, F.col("method").eqNullSafe(F.col("_m")), "left").select(
+        "method", "mean", "p99", "trials", (F.col("mean") / base).alias("ratio"))
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: str | None = None) -> DataFrame:
