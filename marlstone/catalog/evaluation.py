@@ -196,9 +196,7 @@ FROM grid g LEFT JOIN (
 GROUP BY g.method""",
     "recall_exact": f"""
 {_METHODS},
-{r.ranked_cte('top', 'bm25_scores', 20)},
-gold AS (SELECT DISTINCT query_id, d.text FROM top JOIN documents d ON d.doc_id = chunk_id
-  JOIN benchmark b ON b.item_id = query_id WHERE {_HIT}),
+gold AS (SELECT DISTINCT b.item_id AS query_id, d.text FROM documents d JOIN benchmark b ON {_HIT}),
 pairs AS (SELECT DISTINCT m.method, g.query_id, g.text FROM gold g, shown m),
 hit AS (SELECT DISTINCT method, query_id, d.text FROM shown JOIN documents d ON d.doc_id = chunk_id)
 SELECT p.method, CAST(count(h.text) AS BIGINT) AS hits, count(*) AS pairs
@@ -213,9 +211,8 @@ SELECT round(avg(b), 6) AS mrr_before, round(avg(a), 6) AS mrr_after,
   round((avg(a) - avg(b)) / (avg(b) + 1e-9) * 100, 6) AS improvement_pct,
   count(*) FILTER (a > b) AS improved, count(*) FILTER (a < b) AS degraded FROM p""",
     "score_gap": f"""
-{_SCORES}, {r.ranked_cte('top', '(SELECT query_id, chunk_id, round(score, 9) AS score FROM bm25_scores)', 20)},
-holds AS (SELECT DISTINCT query_id, chunk_id FROM top JOIN documents d ON d.doc_id = chunk_id
-  JOIN benchmark b ON b.item_id = query_id WHERE {_HIT}),
+{_SCORES},
+holds AS (SELECT DISTINCT b.item_id AS query_id, d.doc_id AS chunk_id FROM documents d JOIN benchmark b ON {_HIT}),
 j AS (SELECT s.score, h.query_id IS NOT NULL AS good FROM bm25_scores s
   LEFT JOIN holds h ON h.query_id = s.query_id AND h.chunk_id = s.chunk_id)
 SELECT round(avg(score) FILTER (good), 6) AS relevant_mean, round(avg(score) FILTER (NOT good), 6) AS other_mean,

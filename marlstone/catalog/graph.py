@@ -133,6 +133,14 @@ def graph_requests(spark, sf):
     return g.related_for_requests(nodes(spark, sf), edges(spark, sf), asked)
 
 
+def graph_unanswered(spark, sf):
+    """Nations and market segments ask; nothing in the graph is named like a segment."""
+    asked = stack(table(spark, sf, "nation").select(F.col("n_name").alias("entity")),
+                  table(spark, sf, "customer").select(F.col("c_mktsegment").alias("entity"))).distinct()
+    asked = asked.withColumn("query_id", F.concat(F.lit("ask "), "entity"))
+    return g.unanswered_requests(asked, g.related_for_requests(nodes(spark, sf), edges(spark, sf), asked))
+
+
 def graph_context_lines(spark, sf):
     asked = table(spark, sf, "region").select(F.col("r_regionkey").alias("query_id"), F.col("r_name").alias("entity"))
     return graph_context(asked, nodes(spark, sf), edges(spark, sf))
@@ -188,7 +196,8 @@ def named_like_lines(spark, sf):
 QUERIES = {f.__name__: f for f in (
     graph_related, graph_related_all, graph_articles, graph_articles_like, graph_requirements,
     graph_requirements_optional, graph_chain, graph_subgraph, graph_coref, graph_coref_counts, graph_degree,
-    graph_in_degree, graph_difference, graph_hops, graph_shortest_path, graph_requests, graph_context_lines,
+    graph_in_degree, graph_difference, graph_hops, graph_shortest_path, graph_requests, graph_unanswered,
+    graph_context_lines,
     graph_merge_nodes, graph_merge_edges, graph_link_each, graph_duplicate_keys, entity_nodes, named_like_lines)}
 
 _NODES = """
@@ -298,6 +307,11 @@ path AS (SELECT * FROM back UNION ALL SELECT * FROM p1 UNION ALL SELECT * FROM p
 SELECT CAST(max(hops) AS INTEGER) AS hops, string_agg(name, '>' ORDER BY hops) AS path_nodes FROM path JOIN nodes ON k = node_key""",
     "graph_requests": f"""
 {_G}, asked AS (SELECT n_nationkey AS query_id, n_name AS entity FROM nation), {_ASKED} SELECT * FROM found""",
+    "graph_unanswered": f"""
+{_G}, asked AS (SELECT DISTINCT 'ask ' || entity AS query_id, entity FROM (SELECT n_name AS entity FROM nation
+  UNION ALL SELECT c_mktsegment FROM customer)), {_ASKED}
+SELECT query_id, 'No entities related to ''' || entity || ''' found.' AS info FROM asked
+WHERE query_id NOT IN (SELECT query_id FROM found)""",
     "graph_context_lines": f"""
 {_G}, asked AS (SELECT r_regionkey AS query_id, r_name AS entity FROM region), {_ASKED}
 SELECT q.query_id, coalesce(string_agg('- ' || coalesce(f.name, '?') || ' (' || f.type || ') [' || f.relationship

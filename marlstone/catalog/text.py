@@ -111,13 +111,21 @@ def entity_by_label(spark, sf):
 
 
 def domain_entities(spark, sf):
-    """The domain dictionary over all documents and messages."""
+    """The domain dictionary over all documents and messages, in which frequent short words stand for its phrases."""
     said = table(spark, sf, "conversations").select(
         F.concat_ws("_", F.lit("c"), "conv_id", "turn").alias("doc_id"), "text")
     texts = stack(_docs(spark, sf).select(F.concat(F.lit("d"), "doc_id").alias("doc_id"), "text"), said)
+    phrase = F.element_at(F.array(*map(F.lit, DOMAIN_PHRASES)), F.pmod(F.length("doc_id") * 7 + F.length("text"),
+                                                                      F.lit(len(DOMAIN_PHRASES))) + 1)
+    word = F.transform(F.split("text", " "), lambda w: F.when(w.isin(*SHORT_WORDS), phrase).otherwise(w))
+    texts = texts.select("doc_id", F.array_join(word, " ").alias("text"))
     return entities.extract_entities(texts).groupBy("label", "text").agg(F.count("*").alias("mentions"))
 
 
+#: All phrases of the dictionary and some numbered ratios.
+DOMAIN_PHRASES = [p for group in entities.PHRASES.values() for p in group] + ["105 % coverage ratio", "ninety coverage ratio"]
+SHORT_WORDS = ("the", "und", "de", "la")
+
 QUERIES = {f.__name__: f for f in (
     category_counts, category_profile, order_year_range, distinct_labels, document_preview, dedup_passages,
     token_budget, texts_per_window, packed_context, fitting_documents, chunk_fixed, chunk_sentence, chunk_semantic,
@@ -142,6 +150,19 @@ _ENTITIES = f"""
       doc
     FROM spans)"""
 
+_LABELLED = [(p, label) for label, group in entities.PHRASES.items() for p in group] + [
+    (p, "METRIC") for p in DOMAIN_PHRASES[-2:]]
+_LONGEST_FIRST = "|".join(sorted(DOMAIN_PHRASES, key=lambda p: (-len(p), p)))
+_DOMAIN = f"""
+WITH said AS (SELECT 'd' || doc_id AS doc_id, text FROM documents
+  UNION ALL SELECT 'c_' || conv_id || '_' || turn, text FROM conversations),
+phrases AS (SELECT [{", ".join(f"'{p}'" for p in DOMAIN_PHRASES)}] AS p),
+texts AS (SELECT array_to_string(list_transform(string_split(text, ' '), lambda w: CASE WHEN w IN ('the', 'und', 'de', 'la')
+  THEN p[(length(doc_id) * 7 + length(text)) % {len(DOMAIN_PHRASES)} + 1] ELSE w END), ' ') AS text FROM said, phrases),
+hits AS (SELECT unnest(regexp_extract_all(text, '\\b(?:{_LONGEST_FIRST})\\b')) AS text FROM texts),
+labels(text, label) AS (VALUES {", ".join(f"('{p}', '{label}')" for p, label in _LABELLED)})
+SELECT label, text, count(*) AS mentions FROM hits JOIN labels USING (text) GROUP BY ALL"""
+
 SQL = {
     "category_counts": "SELECT lang, count(*) AS n FROM documents GROUP BY lang",
     "category_profile": f"""
@@ -242,4 +263,5 @@ FROM entity e JOIN sent s ON s.doc_id = e.doc_id AND e.start_char >= s.b AND e.s
     "entity_by_label": f"""
 WITH {_ENTITIES}
 SELECT doc_id, label, text, min(start_char) AS first_at, count(*) AS mentions FROM entity GROUP BY ALL""",
+    "domain_entities": _DOMAIN,
 }

@@ -1,13 +1,15 @@
 """Dictionary entities with offsets and sentence.
 
 A phrase matches in exact case between token boundaries. Where matches overlap,
-the one with more tokens wins, then the one that starts first. Only rows that
-contain some phrase reach Python.
+the one with more tokens wins, then the one that starts first. All phrases are
+looked for in one pass over a text, by an automaton built once in each task. Only
+rows that contain some phrase reach Python.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 
 from marlstone.functions import text as tx
 from marlstone.functions.text import SENTENCE_GAP
+from marlstone.operators.patterns import Finder
 
 # The domain phrases by label.
 PHRASES = {
@@ -59,21 +62,31 @@ ENTITY = "struct<text:string,label:string,start_char:int,end_char:int,sentence:s
 _TOKEN = re.compile(r"\w+|[^\w\s]")
 
 
-def _matches(text: str, phrases: list[tuple[str, str]], patterns: list[tuple[re.Pattern, str]]):
-    for phrase, label in phrases:
-        at = text.find(phrase)
-        while at >= 0:
-            end = at + len(phrase)
+class Phrases:
+    """An automaton over the phrases of a dictionary, which may name one phrase under several labels."""
+
+    def __init__(self, phrases: list[tuple[str, str]]):
+        self.texts = sorted({p for p, _ in phrases})
+        self.labels = [[label for p, label in phrases if p == text] for text in self.texts]
+        self.finder = Finder(self.texts)
+
+    def matches(self, text: str):
+        for end, place in self.finder.spans(text):
+            at = end - len(self.texts[place])
             before, after = text[at - 1:at] if at else "", text[end:end + 1]
             if not (before.isalnum() or before == "_" or after.isalnum() or after == "_"):
-                yield at, end, label
-            at = text.find(phrase, at + 1)
+                for label in self.labels[place]:
+                    yield at, end, label
+
+
+def _matches(text: str, phrases: Phrases, patterns: list[tuple[re.Pattern, str]]):
+    yield from phrases.matches(text)
     for pattern, label in patterns:
         for m in pattern.finditer(text):
             yield m.start(), m.end(), label
 
 
-def find_entities(text: str, phrases: list[tuple[str, str]],
+def find_entities(text: str, phrases: Phrases,
                   patterns: list[tuple[re.Pattern, str]]) -> list[tuple[int, int, str]]:
     """Chosen ``(start, end, label)`` spans in text order."""
     found = set(_matches(text, phrases, patterns))
@@ -106,9 +119,10 @@ def entities(text: Column, phrases: dict[str, tuple[str, ...]] = PHRASES,
     sources = [(p, label) for label, group in patterns.items() for p in group]
 
     @F.pandas_udf(f"array<{ENTITY}>")
-    def extract(texts: pd.Series) -> pd.Series:
-        compiled = [(re.compile(p), label) for p, label in sources]
-        return texts.map(lambda t: _with_sentences(t, find_entities(t, words, compiled)))
+    def extract(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        compiled, automaton = [(re.compile(p), label) for p, label in sources], Phrases(words)
+        for texts in parts:
+            yield texts.map(lambda t: _with_sentences(t, find_entities(t, automaton, compiled)))
 
     return extract(text)
 

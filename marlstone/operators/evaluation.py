@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.operators.embedding import Embedder
+from marlstone.operators.patterns import contained
 from marlstone.operators.quantiles import exact_percentiles
-from marlstone.operators.ranking import containment_pairs
 from marlstone.functions import vector as vx
 from marlstone.session import stack
 
@@ -37,17 +37,15 @@ def is_relevant(content: Column, context: Column, match: str = "prefix80") -> Co
 def holders(corpus: DataFrame, golden: DataFrame) -> DataFrame:
     """``(query_id, chunk_id)``: every pair of a context and a document that ``is_relevant`` calls relevant.
 
-    Found by equi-joins on the distinct substrings of the lengths asked for; null texts
-    hold nothing, an empty one is held by every text.
+    Null texts hold nothing, an empty one is held by every text. Documents are read
+    where they lie, whatever their length (see ``patterns.contained``).
     """
     docs = corpus.select("chunk_id", "content").filter(F.col("content").isNotNull())
     asked = golden.select("query_id", "context").filter(F.col("context").isNotNull())
-    heads = asked.select(F.substring("context", 1, 80).alias("_head")).distinct()
-    held = containment_pairs(docs, "content", heads, "_head").select("chunk_id", "_head")
     named = asked.select("query_id", F.substring("context", 1, 80).alias("_head"))
+    held = contained(docs, ["chunk_id"], "content", named, "_head")
     within = docs.select("chunk_id", F.substring("content", 1, 80).alias("_start"))
-    starts = within.select("_start").distinct()
-    inside = containment_pairs(asked, "context", starts, "_start").select("query_id", "_start")
+    inside = contained(asked, ["query_id"], "context", within, "_start")
     empty = stack(named.filter("_head = ''").crossJoin(docs.select("chunk_id")).select("query_id", "chunk_id"),
                   within.filter("_start = ''").crossJoin(named.select("query_id")).select("query_id", "chunk_id"))
     return stack(held.join(named, "_head").select("query_id", "chunk_id"),

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.functions import text as tx
+from marlstone.operators.patterns import contained
 from marlstone.operators.ranking import top_k
 from marlstone.session import stack, staged
 
@@ -144,14 +145,11 @@ def related_for_requests(nodes: DataFrame, edges: DataFrame, requests: DataFrame
                          key: str = "query_id", limit: int = 25) -> DataFrame:
     """For each request: up to ``limit`` neighbours ``name, type, relationship, direction`` with a rank.
 
-    Names and ids are matched by joining their substrings with the distinct
-    request texts.
+    All distinct request texts are searched in each name and id at once.
     """
-    from marlstone.operators.ranking import containment_pairs
-
     wanted = requests.select(F.lower(entity).alias("_e")).distinct()
     names = nodes.select("node_key", F.explode(F.array_compact(F.array(F.lower("name"), F.lower("id")))).alias("_t"))
-    meant = containment_pairs(names, "_t", wanted, "_e").select("_e", F.col("node_key").alias("a")).distinct()
+    meant = contained(names, ["node_key"], "_t", wanted, "_e").withColumnRenamed("node_key", "a")
     near = both_ways(edges).join(meant, "a").join(_ends(nodes, "b", "", "name", "label"), "b")
     rows = near.select("_e", "name", F.col("label").alias("type"), F.col("rel").alias("relationship"), "direction",
                        F.col("b").alias("target_key"), F.col("a").alias("source_key"))
@@ -160,6 +158,12 @@ def related_for_requests(nodes: DataFrame, edges: DataFrame, requests: DataFrame
     return requests.select(key, F.lower(entity).alias("_e")).join(few, "_e").drop("_e", "source_key")
 
 
+def unanswered_requests(requests: DataFrame, found: DataFrame, entity: str = "entity", key: str = "query_id") -> DataFrame:
+    """``key, info`` of every request that ``related_for_requests`` found nothing for."""
+    info = F.concat(F.lit("No entities related to '"), F.coalesce(entity, F.lit("")), F.lit("' found."))
+    return requests.join(found.select(key), key, "left_anti").select(key, info.alias("info"))
+
+
 def articles_for_concept(nodes: DataFrame, edges: DataFrame, concept: str, exact: bool = True,
                          rel: str = "REFERENCES") -> DataFrame:
     """``(article_key, concept)`` of nodes that point to a concept by exact name or by substring."""

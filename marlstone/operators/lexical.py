@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.functions import text as tx
-from marlstone.operators.ranking import containment_pairs, pad_with_first, top_k
+from marlstone.operators.patterns import Finder, contained
+from marlstone.operators.ranking import pad_with_first, top_k
 from marlstone.operators.scan import NO_SCORE, as_ids, hit_schema, scan_top_k
 
 # The usual BM25 parameters and the share of the mean idf that
@@ -231,32 +232,26 @@ def keyword_hits(corpus: DataFrame, queries: DataFrame, *, id_col: str = "chunk_
     """
     asked = queries.select("query_id", F.explode(F.array_distinct(tx.tokens(text))).alias("word"))
     said = corpus.select(F.col(id_col), F.explode(F.array_distinct(tx.tokens(_joined_fields(fields)))).alias("said"))
-    found = containment_pairs(said, "said", asked.select("word").distinct(), "word")
     return (
-        found.select(id_col, "word").distinct()
+        contained(said, [id_col], "said", asked, "word")
         .join(asked, "word")
         .groupBy("query_id", id_col)
         .agg(F.count("*").alias("hits"))
     )
 
 
-def _contained(said: str, place: dict[str, int], lengths: list[int]) -> list[int]:
-    """Places of the query words that occur inside one word of a text."""
-    parts = {said[i:i + n] for n in lengths for i in range(len(said) - n + 1)}
-    return [place[p] for p in parts if p in place]
-
-
 def _scan_keywords(corpus: DataFrame, rows: list[tuple], query_type, k: int, id_col: str,
                    fields: tuple[str, ...]) -> DataFrame:
     cut = corpus.select(id_col, F.array_distinct(tx.tokens(_joined_fields(fields))).alias("said"))
     matrix = _TermMatrix(rows, [1.0] * len(rows))
-    place = {t: i for i, t in enumerate(matrix.terms)}
-    lengths = sorted({len(t) for t in matrix.terms})
+    terms, finders = list(matrix.terms), []
 
     def score(batch: pa.RecordBatch) -> np.ndarray:
+        if not finders:  # built once in each task
+            finders.append(Finder(terms))
         sizes = _list_lengths(batch.column(1))
         coded = batch.column(1).flatten().dictionary_encode()
-        inside = [_contained(w, place, lengths) for w in coded.dictionary.to_pylist()]
+        inside = [finders[0].inside(w) for w in coded.dictionary.to_pylist()]
         counts = np.array([len(i) for i in inside], dtype=np.int64)
         flat = np.array([p for i in inside for p in i], dtype=np.int64)
         start = np.cumsum(counts) - counts
@@ -265,10 +260,10 @@ def _scan_keywords(corpus: DataFrame, rows: list[tuple], query_type, k: int, id_
         many = counts[code]
         offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         term = flat[np.repeat(start[code], many) + offset] if len(flat) else flat
-        seen = np.zeros(len(sizes) * len(place), dtype=bool)
-        seen[np.repeat(row, many) * len(place) + term] = True
+        seen = np.zeros(len(sizes) * len(terms), dtype=bool)
+        seen[np.repeat(row, many) * len(terms) + term] = True
         entry = np.nonzero(seen)[0]
-        return matrix.add_up(entry // len(place), entry % len(place), np.ones(len(entry)), len(sizes))
+        return matrix.add_up(entry // len(terms), entry % len(terms), np.ones(len(entry)), len(sizes))
 
     schema = hit_schema(query_type, id_col, cut.schema[id_col].dataType)
     return scan_top_k(cut, schema, as_ids(matrix.query_ids), k, score)

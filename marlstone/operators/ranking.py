@@ -1,4 +1,4 @@
-"""Ranks inside queries, exact padding, and containment as an equi-join."""
+"""Ranks inside queries and exact padding."""
 
 from __future__ import annotations
 
@@ -32,22 +32,3 @@ def pad_with_first(best: DataFrame, queries: DataFrame, corpus: DataFrame, k: in
         F.lit(0).cast(best.schema[value].dataType).alias(value))
     return stack(best.select("query_id", id_col, value), offered).groupBy("query_id", id_col).agg(
         F.max(value).alias(value))
-
-
-def containment_pairs(haystacks: DataFrame, hay: str, needles: DataFrame, needle: str) -> DataFrame:
-    """All pairs of rows where the text ``hay`` contains the text ``needle``.
-
-    The substrings of ``hay`` that have the length of some needle are joined with
-    the needles on equality. Needles must be non-empty; meant for short haystacks
-    such as words and names.
-    """
-    wanted = needles.filter(F.length(needle) > 0)
-    lengths = wanted.agg(F.collect_set(F.length(needle))).scalar()
-    parts = (
-        haystacks.withColumn("_n", F.explode(lengths))
-        .filter(F.col("_n") <= F.length(hay))
-        .withColumn("_at", F.explode(F.sequence(F.lit(1), F.length(hay) - F.col("_n") + 1)))
-        .withColumn("_sub", F.substring(F.col(hay), F.col("_at"), F.col("_n")))
-        .drop("_at", "_n")
-    )
-    return parts.join(wanted, F.col("_sub") == F.col(needle)).drop("_sub").distinct()

@@ -116,7 +116,7 @@ def test_entities(spark):
 
 
 def test_longest_match_wins_over_first():
-    picked = en.find_entities("a b c d", [("a b", "X"), ("b c d", "Y"), ("c", "Z")], [])
+    picked = en.find_entities("a b c d", en.Phrases([("a b", "X"), ("b c d", "Y"), ("c", "Z")]), [])
     assert picked == [(2, 7, "Y")]
 
 
