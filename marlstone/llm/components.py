@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from marlstone.session import stack, staged
@@ -32,13 +32,15 @@ def components(edges: DataFrame) -> DataFrame:
     shared folder, so a lost executor costs one round; rounds go on until nothing
     changes (their number grows with the logarithm of the longest chain).
     """
-    edges = staged(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     mark = None
     while True:
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == mark or now[0] == 0:
+        seen = Observation()  # filled by the write itself
+        edges = staged(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("mark")))
+        now = seen.get
+        if now == mark or not now.get("n"):
             break
         mark = now
-        edges = staged(_star(_star(edges, True), False))
+        edges = _star(_star(edges, True), False)
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return stack(roots, edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()

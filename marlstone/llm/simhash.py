@@ -307,7 +307,7 @@ def _and_end(parts):
 
 
 def _missed(seen: DataFrame, roots: DataFrame) -> DataFrame:
-    """``u, v``: nodes of all texts that share a key, are close, and have different roots so far.
+    """``u, v``: numbers of all texts that share a key, are close, and have different roots so far.
 
     Nothing is led here: every pair of rows of a key with different roots is looked at.
     A key of many rows is cut into tiles. Its rows that do not have its most
@@ -315,14 +315,13 @@ def _missed(seen: DataFrame, roots: DataFrame) -> DataFrame:
     already costs as many looks as it has rows, times the number of strangers.
     """
     prints = [f"p{i}" for i in range(PRINTS)]
-    kinds = staged(seen.join(roots, "node", "left").select(
-        "node", "n_shingles", *prints, F.xxhash64("node").alias("id"),
-        F.xxhash64(F.coalesce("root", "node")).alias("root")))
+    kinds = staged(seen.drop("id").join(roots.withColumnRenamed("node", "nid"), "nid", "left").select(
+        F.col("nid").alias("id"), "n_shingles", *prints, F.coalesce("root", "nid").alias("root")))
     def keyed(rows):
         return rows.select("id", *prints, "root").mapInArrow(
             _pairs_of_segments, "key long, id long, proof long, root long")
 
-    of_key = (keyed(kinds.where(F.pmod("id", F.lit(SAMPLED)) == 0)).groupBy("key", "root").agg(F.count("*").alias("n"))
+    of_key = (keyed(kinds.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLED)) == 0)).groupBy("key", "root").agg(F.count("*").alias("n"))
               .groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("most")))
     blocks = lambda n: F.ceil(n * SAMPLED / TILE)
     large = staged(of_key.where(F.col("n") * SAMPLED > TILE).select(
@@ -343,7 +342,7 @@ def _missed(seen: DataFrame, roots: DataFrame) -> DataFrame:
     else:
         dealt = dealt.select(F.col("key").alias("tile"), "id", "proof", "root", F.lit(BOTH).alias("side"))
     met = dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(_apart, "id long, other long").distinct()
-    left, right = (kinds.select(F.col("id").alias(i), F.struct("node", "n_shingles", *prints).alias(v))
+    left, right = (kinds.select(F.col("id").alias(i), F.struct(F.col("id").alias("nid"), "n_shingles", *prints).alias(v))
                    for i, v in (("id", "a"), ("other", "b")))
     return _screened(met.join(left, "id").join(right, "other"))
 
@@ -351,7 +350,7 @@ def _missed(seen: DataFrame, roots: DataFrame) -> DataFrame:
 def _screened(met: DataFrame) -> DataFrame:
     bits = " + ".join(f"bit_count(a.p{i} ^ b.p{i})" for i in range(PRINTS))
     return (met.where("least(a.n_shingles, b.n_shingles) * 1.25 >= greatest(a.n_shingles, b.n_shingles)")
-            .where(f"{bits} <= {MOST_OF_ALL}").select(F.col("a.node").alias("u"), F.col("b.node").alias("v")))
+            .where(f"{bits} <= {MOST_OF_ALL}").select(F.col("a.nid").alias("u"), F.col("b.nid").alias("v")))
 
 
 def _jaccard(parts):
@@ -371,28 +370,29 @@ def _sets(size):
         for part in parts:
             sets = [np.unique(hashed(shingles(byte_words(t.as_py()), size))).view(np.int64) for t in part.column(1)]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, type=pa.list_(pa.int64()))],
-                                             names=["node", "set"])
+                                             names=["nid", "set"])
     return run
 
 
 def _seen(docs: DataFrame, size: int) -> DataFrame:
-    """Every distinct text: ``node``, its fingerprints and ``n_shingles``; ``id`` is alike where the first of them and the number are."""
+    """Every distinct text: ``node``, its number ``nid``, its fingerprints and ``n_shingles``; ``id`` is alike where the first
+    of them and the number of shingles are. Links and groups are made of the numbers; they are fixed when the rows are written."""
     prints = [f"p{i}" for i in range(PRINTS)]
     return staged(_prints(docs, size).groupBy("_h", "_g").agg(
         F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in (*prints, "n_shingles")])
-        .withColumn("node", _node(F.col("least"))).withColumn("id", F.xxhash64("p0", "n_shingles")))
+        .withColumns({"node": _node(F.col("least")), "id": F.xxhash64("p0", "n_shingles"), "nid": F.monotonically_increasing_id()}))
 
 
 def _candidates(seen: DataFrame) -> DataFrame:
-    """``u, v``: nodes of texts whose shingle sets are compared first (see ``near_texts``)."""
+    """``u, v``: numbers of texts whose shingle sets are compared first (see ``near_texts``)."""
     prints = [f"p{i}" for i in range(PRINTS)]
-    kinds = staged(seen.groupBy("id").agg(F.min(F.struct("node", "n_shingles", *prints)).alias("k")).select("id", "k.*"))
-    left, right = (kinds.select(F.col("id").alias(i), F.struct("node", "n_shingles", *prints).alias(v))
+    kinds = staged(seen.groupBy("id").agg(F.min(F.struct("nid", "n_shingles", *prints)).alias("k")).select("id", "k.*"))
+    left, right = (kinds.select(F.col("id").alias(i), F.struct("nid", "n_shingles", *prints).alias(v))
                    for i, v in (("id", "a"), ("other", "b")))
     across = _screened(_close(kinds.select("id", *prints)).join(left, "id").join(right, "other"))
     # texts of one first fingerprint and length: each against the first
-    within = (seen.select("id", "node").join(right.select(F.col("other").alias("id"), F.col("b.node").alias("v")), "id")
-              .where("node <> v").select(F.col("node").alias("u"), "v"))
+    within = (seen.select("id", "nid").join(right.select(F.col("other").alias("id"), F.col("b.nid").alias("v")), "id")
+              .where("nid <> v").select(F.col("nid").alias("u"), "v"))
     return staged(stack(across, within).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
 
 
@@ -400,8 +400,8 @@ def _node(doc_id):
     return F.struct(doc_id.isNull().alias("none"), doc_id.alias("least"), F.col("_h"), F.col("_g"))
 
 
-def _firsts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The first document of each distinct text: ``_h, _g, row`` (all its columns), ``paired`` (whether ``pairs`` has it).
+def _firsts(docs: DataFrame, seen: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The first document of each distinct text: ``_h, _g, row`` (all its columns), ``nid`` where ``pairs`` has it.
 
     Spark keeps one row of each text in every task before the shuffle, and the join stays in that partitioning.
     """
@@ -409,33 +409,37 @@ def _firsts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     first = Window.partitionBy("_h", "_g").orderBy(F.col("row.doc_id").asc_nulls_last())
     alone = (docs.select(*key, F.struct(*docs.columns).alias("row"))
              .withColumn("place", F.row_number().over(first)).where("place = 1").drop("place"))
-    nodes = _nodes(pairs).withColumn("paired", F.lit(True))
-    return alone.join(nodes, ["_h", "_g"], "left").withColumn("paired", F.col("paired").isNotNull())
+    return alone.join(_nodes(seen, pairs), ["_h", "_g"], "left")
 
 
 def _links(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
-    """``u, v``: the pairs whose shingle sets are as similar as asked for; ``texts`` has the ``row`` of every node."""
-    texts = texts.select(_node(F.col("row.doc_id")).alias("node"), F.col("row.text").alias("text"))
-    sets = staged(texts.mapInArrow(_sets(size), texts.select("node").schema.add("set", T.ArrayType(T.LongType()))))
-    linked = (pairs.join(sets.select(F.col("node").alias("u"), F.col("set").alias("a_set")), "u")
-              .join(sets.select(F.col("node").alias("v"), F.col("set").alias("b_set")), "v"))
+    """``u, v``: the pairs whose shingle sets are as similar as asked for; ``texts`` has ``nid`` and ``row`` of every text."""
+    texts = texts.select("nid", F.col("row.text").alias("text"))
+    sets = staged(texts.mapInArrow(_sets(size), texts.select("nid").schema.add("set", T.ArrayType(T.LongType()))))
+    linked = (pairs.join(sets.select(F.col("nid").alias("u"), F.col("set").alias("a_set")), "u")
+              .join(sets.select(F.col("nid").alias("v"), F.col("set").alias("b_set")), "v"))
     linked = linked.mapInArrow(_jaccard, pairs.schema.add("similarity", "double"))
     return staged(linked.where(F.col("similarity") >= similarity).select("u", "v"))
 
 
 def _grouped(seen: DataFrame, pairs: DataFrame, firsts: DataFrame, size: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """``node, root`` of all links, and the nodes (``_h, _g``) of the links that ``pairs`` did not have."""
-    roots = components(_links(pairs, firsts.where("paired"), size, similarity))
+    """``nid, _h, _g, node, root`` of all linked texts, ``root`` the smallest node of the group, and the texts (``_h, _g``)
+    of the links that ``pairs`` did not have."""
+    roots = components(_links(pairs, firsts.where("nid is not null"), size, similarity))
     missed = staged(_missed(seen, roots))
-    nodes = staged(_nodes(missed))
-    more = _links(missed, firsts.join(nodes, ["_h", "_g"]), size, similarity)
-    if not more.isEmpty():
+    more = _links(missed, firsts.drop("nid").join(_nodes(seen, missed), ["_h", "_g"]), size, similarity)
+    late = staged(_nodes(seen, more).select("_h", "_g"))
+    if not late.isEmpty():
         roots = components(stack(roots.select(F.col("node").alias("u"), F.col("root").alias("v")), more))
-    return roots, staged(_nodes(more))
+    named = staged(seen.select("nid", "_h", "_g", "node").join(roots.select(F.col("node").alias("nid"), "root"), "nid"))
+    least = named.groupBy("root").agg(F.min("node").alias("least"))
+    return named.join(least, "root").select("nid", "_h", "_g", "node", F.col("least").alias("root")), late
 
 
-def _nodes(pairs: DataFrame) -> DataFrame:
-    return stack(pairs.select("u._h", "u._g"), pairs.select("v._h", "v._g")).distinct()
+def _nodes(seen: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``_h, _g, nid`` of the texts in ``pairs``."""
+    some = pairs.select(F.explode(F.array("u", "v")).alias("nid")).distinct()
+    return seen.select("_h", "_g", "nid").join(some, "nid", "left_semi")
 
 
 def near_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -454,8 +458,8 @@ def near_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataF
     """
     seen = _seen(docs, size)
     pairs = _candidates(seen)
-    roots, _ = _grouped(seen, pairs, staged(_firsts(docs, pairs), "zstd"), size, similarity)
-    return roots.select("node._h", "node._g", "node", "root")
+    roots, _ = _grouped(seen, pairs, staged(_firsts(docs, seen, pairs), "zstd"), size, similarity)
+    return roots.select("_h", "_g", "node", "root")
 
 
 def one_of_each(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -467,10 +471,10 @@ def one_of_each(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Data
     """
     seen = _seen(docs, size)
     pairs = _candidates(seen)
-    firsts = staged(_firsts(docs, pairs), "zstd")
+    firsts = staged(_firsts(docs, seen, pairs), "zstd")
     roots, late = _grouped(seen, pairs, firsts, size, similarity)
-    gone = roots.where("node <> root").select("node._h", "node._g")
-    late = staged(late.join(gone, ["_h", "_g"], "left_semi"))
-    left = firsts.where("paired").join(gone, ["_h", "_g"], "left_anti")
-    alone = firsts.where("not paired").join(late, ["_h", "_g"], "left_anti")
+    gone = staged(roots.where("node <> root").select("_h", "_g"))
+    late = late.join(gone, ["_h", "_g"], "left_semi")
+    left = firsts.where("nid is not null").join(gone, ["_h", "_g"], "left_anti")
+    alone = firsts.where("nid is null").join(late, ["_h", "_g"], "left_anti")
     return stack(alone.select("row.*"), left.select("row.*"))
