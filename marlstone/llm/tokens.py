@@ -27,6 +27,7 @@ import uuid
 import zlib
 from array import array
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +51,28 @@ PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+"
 OTHER = r"[^\t\n\r -~¡-±´-¸º»¿-įı-ɏ]|<\|(?:start|end)oftext\|>"
 
 
+class Cache:
+    """The ids of strings that were coded lately: what one generation did not ask for goes with the next."""
+
+    def __init__(self, code):
+        self.code = code
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def join(self, keys: list[str]) -> bytes:
+        try:
+            return b"".join(map(self.young.__getitem__, keys))
+        except KeyError:
+            if len(self.young) > CACHED_WORDS:
+                self.young, self.old = {}, self.young
+            for key in set(keys).difference(self.young):
+                known = self.old.get(key)
+                self.young[key] = self.code(key) if known is None else known
+            return b"".join(map(self.young.__getitem__, keys))
+
+
 class Encoder:
-    """Ids of whole texts by a tokenizer file; pieces that were coded before come from a bounded cache."""
+    """Ids of whole texts by a tokenizer file; words and pieces that were coded before come from bounded caches."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -64,25 +85,15 @@ class Encoder:
         # Byte-level models name a byte by a visible character: itself, or the next one from 256 on.
         hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
         self.shown = {b: 256 + i for i, b in enumerate(hidden)}
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.coded_pieces = Cache(self._piece)
+        self.coded_words = Cache(lambda word: self.coded_pieces.join(self.pieces(word)))
 
     def _bytes(self, encoding) -> bytes:
         return array(self.type.char, encoding.ids).tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.young) > CACHED_WORDS:
-            self.young, self.old = {}, self.young
-        missing = []
-        for piece in set(pieces).difference(self.young):
-            if piece in self.old:
-                self.young[piece] = self.old[piece]
-            else:
-                missing.append(piece)
-        model = self.tokenizer.model.tokenize
-        for piece in missing:
-            ids = [t.id for t in model(piece.encode().decode("latin-1").translate(self.shown))]
-            self.young[piece] = array(self.type.char, ids).tobytes()
+    def _piece(self, piece: str) -> bytes:
+        ids = [t.id for t in self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.shown))]
+        return array(self.type.char, ids).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian values of ``self.type``, without the end id."""
@@ -90,12 +101,13 @@ class Encoder:
             return b""
         if self.other(text):
             return self._bytes(self.tokenizer.encode(text, add_special_tokens=False))
-        pieces = self.pieces(text.lower())
-        try:
-            return b"".join(map(self.young.__getitem__, pieces))
-        except KeyError:
-            self._learn(pieces)
-            return b"".join(map(self.young.__getitem__, pieces))
+        return self.coded_words.join(text.lower().split())  # no piece holds a blank
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """The encoder of this worker, whose caches serve the tasks that follow."""
+    return Encoder(path)
 
 
 @dataclass
@@ -210,25 +222,34 @@ def unpack(data: bytes, n: int, table: Table, symbols: np.ndarray, first: int =
 
 
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """``doc_id, n_tokens, crc, ids`` of every document; ``ids`` is zstandard over fixed-width values, the end id last."""
-    schema = docs.select("doc_id").schema.add("n_tokens", "long").add("crc", "long").add("ids", "binary")
+    """``doc_id, n_tokens, crc, ids, counts``: a row for every document, and one row for each task.
 
-    kept = docs.sparkSession.sparkContext.broadcast({})  # one empty dict per worker, which tasks that follow find filled
+    ``ids`` is zstandard over fixed-width values, the end id last. The row of a task has
+    ``counts`` only: how often it met each id of the vocabulary, as longs.
+    """
+    schema = docs.select("doc_id").schema.add("n_tokens", "long").add("crc", "long").add("ids", "binary").add("counts", "binary")
+    names = schema.names
 
     def run(parts):
         import zstandard
 
-        own = kept.value.setdefault(tokenizer, None) or Encoder(tokenizer)
-        kept.value[tokenizer] = own
+        own = encoder(tokenizer)
         squeeze = zstandard.ZstdCompressor(1)
         end = np.array([end_id], dtype=own.type).tobytes()
+        counts, id_type = np.zeros(vocabulary(own, end_id), dtype="<i8"), None
         for part in parts:
             raw = [own.encode(t.as_py()) + end for t in part.column(1)]
+            for at in range(0, len(raw), 1024):
+                counts += np.bincount(np.frombuffer(b"".join(raw[at:at + 1024]), own.type), minlength=len(counts))
             crcs = [zlib.crc32(np.frombuffer(r, own.type).astype("<u4").tobytes()) for r in raw]
+            id_type = part.column(0).type
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([len(r) // own.type.itemsize for r in raw], pa.int64()),
-                 pa.array(crcs, pa.int64()), pa.array(list(map(squeeze.compress, raw)), pa.binary())],
-                names=["doc_id", "n_tokens", "crc", "ids"])
+                 pa.array(crcs, pa.int64()), pa.array(list(map(squeeze.compress, raw)), pa.binary()), pa.nulls(len(raw), pa.binary())],
+                names=names)
+        if id_type is not None:
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
+                                              pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())], names=names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -239,19 +260,23 @@ def _plain(packed: bytes, kind: np.dtype) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), kind)
 
 
-def count_ids(ids: DataFrame, kind: np.dtype, size: int) -> np.ndarray:
-    """How often each id occurs in the corpus. A task sends one row per id it has seen, so what
+def vocabulary(own: Encoder, end_id: int) -> int:
+    return max(own.tokenizer.get_vocab_size(), end_id + 1)
+
+
+def count_ids(ids: DataFrame, size: int) -> np.ndarray:
+    """How often each id occurs in the corpus, from the ``counts`` of the tasks that coded it. What
     reaches the driver is one number per entry of the vocabulary."""
     def run(parts):
         counts = np.zeros(size, dtype=np.int64)
         for part in parts:
-            for packed in part.column(0):
-                counts += np.bincount(_plain(packed.as_py(), kind), minlength=size)
+            for own in part.column(0):
+                counts += np.frombuffer(own.as_py(), "<i8")
         seen = np.nonzero(counts)[0]
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["id", "n"])
 
     counts = np.zeros(size, dtype=np.int64)
-    for row in ids.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    for row in ids.where("counts is not null").select("counts").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[row.id] = row.n
     return counts
 
@@ -263,10 +288,11 @@ def encode(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -
     alike are written as often as they occur; other columns are ignored. Documents
     are dealt into ranges of ids, so no task sorts more than its range.
     """
-    own = Encoder(tokenizer)
-    kind, size = own.type, max(own.tokenizer.get_vocab_size(), end_id + 1)
+    own = encoder(tokenizer)
+    kind, size = own.type, vocabulary(own, end_id)
     ids = staged(token_ids(docs, tokenizer, end_id), compression="uncompressed")
-    table = Table.of_counts(count_ids(ids, kind, size))
+    table = Table.of_counts(count_ids(ids, size))
+    ids = ids.where("counts is null").drop("counts")
     spark = docs.sparkSession
     seen = np.nonzero(table.freq)[0]
     spark.createDataFrame([(int(i), int(table.freq[i])) for i in seen], "id int, freq int").coalesce(1).write.parquet(
