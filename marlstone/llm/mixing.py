@@ -28,7 +28,7 @@ NEAR = 1e-9
 
 
 def targets(items: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """``source, source_size, n, target`` from ``source, size, m`` (rows of ``size`` words, ``m`` alike).
+    """``source, source_size, n, target`` from ``source, size, m`` (rows of ``size`` words, ``m`` alike; ``n`` rows in all).
 
     All words are shared by weight; a source stops at ``most`` times its size and the
     rest is shared again. In order of cap over weight, a source stops exactly if
@@ -36,7 +36,7 @@ def targets(items: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     sum replaces the rounds.
     """
     sources = in_runs(items.groupBy("source").agg(F.sum(F.col("size") * F.col("m")).alias("source_size"),
-                                                  F.count("*").alias("n")),
+                                                  F.sum("m").alias("n")),
                       [], [F.col("source").asc_nulls_last()])
     ranked = before(sources, [], [F.col("source").asc_nulls_last()], {"place": F.lit(1)})
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
@@ -57,7 +57,7 @@ def _field(item: Column, name: str) -> Column:
     return item.getField(name)
 
 
-ITEM = ("doc_id", "_h", "_g", "size", "m")
+ITEM = ("doc_id", "_h", "_g", "size", "m", "nr")
 
 
 def _item(source: Column, p: Column) -> Column:
@@ -90,23 +90,25 @@ def _meet(state: Column, item: Column) -> Column:
 
     p, q, s, t = _field(held, "p"), _field(item, "p"), _mass(held), _mass(item)
     up, down = F.least((1 - p) * s, q * t), F.least(p * s, (1 - q) * t)
-    chance = draw(F.lit("pair"), _field(held, "_h"), _field(held, "doc_id"), _field(item, "_h"), _field(item, "doc_id"))
+    named = [_field(v, c) for v in (held, item) for c in ("_h", "doc_id", "nr")]
+    chance = draw(F.lit("pair"), *named)
     drawn = F.struct(up.alias("a"), down.alias("b"), (chance * (up + down) < down).alias("rise"))
     step = F.transform(F.transform(F.array(drawn), moved), settle)[0]
     return F.when(held.isNull(), F.struct(_item(item, _field(item, "p")).alias("held"), out.alias("out"))).otherwise(step)
 
 
 def _mass(item: Column) -> Column:
-    return _field(item, "size") * _field(item, "m").cast("double")
+    return _field(item, "size").cast("double")
 
 
 def _folded(items: DataFrame, buckets: Column) -> DataFrame:
     """One fold per source and bucket: ``source, n, bucket, held, out``."""
-    inside = F.struct(F.xxhash64(F.lit("order"), "_h", "_g", "doc_id").alias("key"), *ITEM, "p")
+    inside = F.struct(F.xxhash64(F.lit("order"), "_h", "_g", "doc_id", "nr").alias("key"), *ITEM, "p")
     bucketed = items.withColumn("bucket", F.pmod("place", buckets))
     grouped = bucketed.groupBy("source", "n", "bucket").agg(F.sort_array(F.collect_list(inside)).alias("items"))
-    none = F.lit(None).cast("struct<doc_id:bigint,_h:bigint,_g:bigint,size:bigint,m:bigint,p:double>")
-    empty = F.lit([]).cast("array<struct<doc_id:bigint,_h:bigint,_g:bigint,size:bigint,m:bigint,up:int>>")
+    fields = ",".join(f"{c}:{items.schema[c].dataType.simpleString()}" for c in ITEM)
+    none = F.lit(None).cast(f"struct<{fields},p:double>")
+    empty = F.lit([]).cast(f"array<struct<{fields},up:int>>")
     start = F.struct(none.alias("held"), empty.alias("out"))
     state = F.aggregate("items", start, _meet)
     return grouped.select("source", "n", "bucket", state.alias("state")).select("source", "n", "bucket", "state.*")
@@ -115,23 +117,27 @@ def _folded(items: DataFrame, buckets: Column) -> DataFrame:
 def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, bucket: int = BUCKET) -> DataFrame:
     """How often each document is taken.
 
-    ``docs`` needs ``doc_id``, ``text`` and ``source``. Returns one row per distinct
-    ``doc_id, _h, _g, source`` (the two hashes of the text): ``m`` rows alike, ``size`` in
-    words, ``source_size``, ``target``, ``copies`` of each of the ``m`` rows. Rows alike share
-    one decision. Null texts have size 0; documents of no words are taken by a draw of
+    ``docs`` needs ``doc_id``, ``text`` and ``source``. Returns one row for each of its rows:
+    ``doc_id, _h, _g, source`` (the two hashes of the text), ``nr`` from 1 to ``m`` among the
+    ``m`` rows alike in these, ``size`` in words, ``source_size``, ``target``, ``copies``.
+    Rows alike are documents of their own, each with its own decision. Null texts have size 0; documents of no words are taken by a draw of
     their own, as they carry no mass; a null source is the last one.
     """
     sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), *text_key(F.col("text")))
     items = staged(sized.groupBy("doc_id", "source", "_h", "_g", "size").agg(F.count("*").alias("m")))
     goals = staged(targets(items, weights, most))
+    items = items.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("m") - 1) / REPEATS))))
+    here = F.least(F.col("m") - F.col("_block") * REPEATS, F.lit(REPEATS))
+    items = items.withColumn("_place", F.explode(F.sequence(F.lit(1).cast("long"), here)))
+    items = items.withColumn("nr", F.col("_block") * REPEATS + F.col("_place")).drop("_block", "_place")
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
     items = join_safe(items, goals, ["source"]).withColumn("rate", rate)
     whole = F.floor(F.col("rate") + NEAR)
     items = items.withColumns({"whole": whole.cast("int"), "p": F.greatest(F.col("rate") - whole, F.lit(0.0))})
     sure = items.where("p <= 1e-9").withColumn("up", F.lit(0))
     empty = items.where("p > 1e-9 and size = 0").withColumn(
-        "up", (draw(F.lit("empty"), "_h", "doc_id") < F.col("p")).cast("int"))
-    open_ = items.where("p > 1e-9 and size > 0").withColumn("place", F.xxhash64(F.lit("place"), "_h", "_g", "doc_id"))
+        "up", (draw(F.lit("empty"), "_h", "doc_id", "nr") < F.col("p")).cast("int"))
+    open_ = items.where("p > 1e-9 and size > 0").withColumn("place", F.xxhash64(F.lit("place"), "_h", "_g", "doc_id", "nr"))
     most_items = goals.agg(F.max("n")).first()[0] or 0
     decided, width = [], bucket
     while True:
@@ -142,11 +148,11 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
         open_ = folded.where("held is not null").select("source", "n", "held.*", F.col("bucket").alias("place"))
         width *= bucket
     rest = folded.where("held is not null").select("source", "held.*")
-    rest = rest.withColumn("up", (draw(F.lit("rest"), "_h", "doc_id") < F.col("p")).cast("int")).drop("p")
+    rest = rest.withColumn("up", (draw(F.lit("rest"), "_h", "doc_id", "nr") < F.col("p")).cast("int")).drop("p")
     ups = stack(*decided, rest)
     goals = goals.drop("n")
     fraction = join_safe(ups, goals, ["source"]).withColumn("rate", rate).withColumn("whole", whole.cast("int"))
-    columns = ("doc_id", "source", "_h", "_g", "size", "m", "source_size", "target",
+    columns = ("doc_id", "source", *ITEM[1:], "source_size", "target",
                (F.col("whole") + F.col("up")).alias("copies"))
     return stack(*[part.select(*columns) for part in (sure, empty, fraction)])
 
@@ -157,15 +163,24 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOS
     An empty table gives no rows. The draw depends on ids and texts only, so reruns agree.
     """
     rows = copies(docs, weights, most, bucket)
-    rows = rows.withColumn("_block", F.explode(F.sequence(F.lit(0), F.floor((F.col("m") - 1) / REPEATS))))
-    here = F.least(F.col("m") - F.col("_block") * REPEATS, F.lit(REPEATS))
-    rows = rows.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), here)))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, bucket: int = BUCKET) -> DataFrame:
-    """``docs`` with every row as often as it is taken; columns stay as they are."""
-    chosen = copies(docs, weights, most, bucket).where("copies > 0").select("doc_id", "source", "_h", "_g", "copies")
-    keyed = docs.withColumns({"_h": text_key(F.col("text"))[0], "_g": text_key(F.col("text"))[1]})
-    taken = join_safe(keyed, chosen, ["_h", "_g", "doc_id", "source"])
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    """``docs`` with every row as often as it is taken; columns stay as they are, whatever their names.
+
+    Rows alike in id, source and text are numbered, in any order, where there are any.
+    """
+    keys = ["_h", "_g", "doc_id", "source"]
+    chosen = staged(copies(docs, weights, most, bucket).where("copies > 0").select(*keys, "m", "nr", "copies"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *text_key(F.col("text")), "doc_id", "source")
+    once = join_safe(rows, chosen.where("m = 1"), keys)
+    parts = [once.select("row", "copies")]
+    again = chosen.where("m > 1")
+    if not again.isEmpty():
+        alike = join_safe(rows, again.select(*keys).distinct(), keys, "left_semi")
+        runs = in_runs(alike.withColumn("_order", F.monotonically_increasing_id()), keys, ["_order"])
+        placed = before(runs, keys, ["_order"], {"_earlier": F.lit(1)}).withColumn("nr", F.col("_earlier") + 1)
+        parts.append(join_safe(placed, again, [*keys, "nr"]).select("row", "copies"))
+    taken = stack(*parts)
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

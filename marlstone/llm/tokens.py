@@ -92,7 +92,8 @@ class Encoder:
         return array(self.type.char, encoding.ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        ids = [t.id for t in self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.shown))]
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.shown)
+        ids = [t.id for t in self.tokenizer.model.tokenize(shown)]
         return array(self.type.char, ids).tobytes()
 
     def encode(self, text: str | None) -> bytes:

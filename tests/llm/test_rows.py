@@ -169,7 +169,7 @@ def test_mixture(spark, odd, bucket):
             assert g.source_size == sizes[source] and g.target == pytest.approx(want[source])
             assert g.taken == g["size"] * g.copies and 0 <= g.copies <= 3
             taken[source] += g.taken
-            biggest[source] = max(biggest[source], g["size"] * (3 if frame is odd else 1))
+            biggest[source] = max(biggest[source], g["size"])
         for source in sizes:
             assert abs(taken[source] - want[source]) <= biggest[source] + 1e-6
         assert rows_of(mixing.mixture(frame, bucket=bucket)) == sorted(map(tuple, got), key=repr)
@@ -178,6 +178,26 @@ def test_mixture(spark, odd, bucket):
     assert mixing.mixture(odd.limit(0)).count() == 0
 
 
+def test_mixture_of_repeated_rows_and_clashing_names(spark):
+    """Rows alike are documents of their own, in numbers and in the rows that are taken; ids may be strings."""
+    text = lambda i: f"w{i} " * 100
+    rows = [("same", text(0), "a", i, "x") for i in range(50)] + [(f"d{i}", text(i), "a", i, "y") for i in range(10)]
+    rows += [(f"e{i}", text(i), "b", i, None) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, source string, _h int, copies string").withColumns(
+        {"_g": F.lit(1), "_copy": F.lit("c"), "m": F.lit(2.5), "nr": F.lit(None).cast("int"), "row": F.lit("r")})
+    got = mixing.mixture(df).collect()
+    target = {r.doc_id[0]: r.target for r in got}
+    for kinds, goal in (("sd", target["d"]), ("e", target["e"])):
+        assert abs(sum(r.taken for r in got if r.doc_id[0] in kinds) - goal) <= 100
+    out = mixing.mixed(df)
+    assert out.dtypes == df.dtypes
+    taken = Counter(tuple(r) for r in out.collect())
+    assert set(taken) <= {tuple(r) for r in df.collect()}
+    assert sorted(taken[tuple(r)] for r in df.collect() if r.doc_id == "same") == sorted(r.copies for r in got if r.doc_id == "same")
+    assert Counter({r[0]: n for r, n in taken.items() if r[0] != "same"}) == Counter({r.doc_id: r.copies for r in got if r.doc_id != "same" and r.copies})
+    assert mixing.mixed(df.limit(0)).collect() == []
+
+
 # op9, op1
 
 
