@@ -200,12 +200,19 @@ def predicted(model: LanguageModel, texts: pa.Array, step: int = 512) -> tuple[l
 
 
 def in_a_language(docs: DataFrame, model: LanguageModel, least: float = 0.0) -> DataFrame:
-    """The documents whose language is known with a score of at least ``least``; columns stay as they are."""
+    """The documents whose language is known with a score of at least ``least``; columns stay as they are.
+
+    Where no language could be learned, every document with a letter stays.
+    """
     at = docs.columns.index("text")
 
     def run(parts):
         for part in parts:
-            names, scores = predicted(model, part.column(at))
-            yield part.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, scores)], pa.bool_()))
+            if model.languages:
+                names, scores = predicted(model, part.column(at))
+                stays = [n != UNKNOWN and s >= least for n, s in zip(names, scores)]
+            else:
+                stays = [has_letter(t.as_py()) for t in part.column(at)]
+            yield part.filter(pa.array(stays, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

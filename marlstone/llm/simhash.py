@@ -13,9 +13,6 @@ fingerprints is not paired out: its members differ outside the whole segment
 only, so each is entered under itself and under every fingerprint one bit away
 there. Two members within two bits share such an entry, and all that share one are
 within two bits, so each is linked with the smallest: exact, and linear.
-
-``near_texts`` is the form for texts: five-word shingles, candidates from the keys of
-several independent fingerprints, and a check of the true similarity of the shingle sets.
 """
 
 from __future__ import annotations
@@ -24,20 +21,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from marlstone.llm import golay
-from marlstone.llm.common import byte_words, hashed, shingles, text_key
+from marlstone.llm.common import byte_words, hashed, join_safe, shingles, text_key
 from marlstone.llm.components import components
 from marlstone.session import stack, staged
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and number of bits
 PAIRED = 64  # larger keys are linked by the exact linear way
-PRINTS = 4  # independent fingerprints of near_texts
-MOST_BITS = 19  # candidates of near_texts: expected bits at similarity 0.8 are 10, of unrelated texts 32
-MOST_OF_ALL = 72  # the same over all PRINTS fingerprints: 39 with a deviation of 6, and 128
-TILE = 4096  # keys of more rows are cut into tiles of about so many; all pairs of a key stay covered
-SAMPLED = 16  # one of so many texts tells which keys are that large
 
 
 def fingerprint(tokens: list[bytes], size: int) -> int:
@@ -128,6 +119,13 @@ def links(prints: DataFrame, paired: int = PAIRED) -> DataFrame:
     return stack(pairs, stars).distinct()
 
 
+def _roots(prints: DataFrame, paired: int) -> DataFrame:
+    """``fingerprint, root`` of every distinct fingerprint; a fingerprint without a link is its own root."""
+    own = prints.select("fingerprint").distinct()
+    linked = components(links(prints, paired)).withColumnRenamed("node", "fingerprint")
+    return own.join(linked, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+
+
 def simhash_components(docs: DataFrame, size: int = 3, paired: int = PAIRED) -> DataFrame:
     """One row per document: ``doc_id, fingerprint, component_id``.
 
@@ -138,343 +136,34 @@ def simhash_components(docs: DataFrame, size: int = 3, paired: int = PAIRED) ->
     """
     prints = staged(fingerprints(docs, size).select("doc_id", "fingerprint"))
     least = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
-    roots = components(links(prints, paired))
-    rooted = least.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn(
-        "root", F.coalesce("root", "fingerprint"))
+    rooted = least.join(_roots(prints, paired), "fingerprint")
     of_root = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(of_root, "root").select("fingerprint", "component_id")
     return prints.join(named, "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _prints(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, _h, _g``, a long per independent fingerprint (``p0``, ``p1``, ...) of the distinct shingles, ``n_shingles``."""
-    key = ("doc_id", "_h", "_g")
-    kept = docs.select(*key[:1], *text_key(F.col("text")), "text")
-    names = [*key, *[f"p{i}" for i in range(PRINTS)], "n_shingles"]
-    schema = kept.drop("text").schema
-    for name in names[3:]:
-        schema = schema.add(name, "long")
-
-    def run(parts):
-        for part in parts:
-            found = [several(byte_words(t.as_py()), size) for t in part.column(3)]
-            values = np.array(found, dtype=np.int64).reshape(-1, PRINTS + 1)
-            yield pa.RecordBatch.from_arrays([*part.columns[:3], *map(pa.array, np.ascontiguousarray(values.T))], names=names)
-
-    return kept.mapInArrow(run, schema)
-
-
-def several(tokens: list[bytes], size: int) -> list[int]:
-    """``PRINTS`` independent fingerprints, of the distinct hashes and of remixed hashes, and the number of distinct hashes."""
-    hashes = np.unique(hashed(shingles(tokens, size)))
-    return [*(_majority(hashes if not i else _remixed(hashes, i)) for i in range(PRINTS)), len(hashes)]
-
-
-def _remixed(hashes: np.ndarray, number: int) -> np.ndarray:
-    mixed = (hashes ^ np.uint64(number)) * np.uint64(0x9E3779B97F4A7C15)
-    mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
-    return mixed ^ mixed >> np.uint64(32)
-
-
-def _pairs_of_segments(parts):
-    """``key, id, proof``: keys of two segments each, with another fingerprint to compare; columns after the prints go along.
-
-    One of the two code words is the nearest of its segment, so a fingerprint has up to
-    33 keys; more fingerprints find more than all 108 of one would.
-    """
-    nearest = np.zeros((golay.MOST_KEYS, golay.MOST_KEYS), dtype=bool)
-    nearest[0], nearest[:, 0] = True, True
-    for part in parts:
-        ids = part.column(0).to_numpy(zero_copy_only=False)
-        prints = [part.column(1 + i).to_numpy(zero_copy_only=False) for i in range(PRINTS)]
-        along = {name: part.column(name) for name in part.schema.names[1 + PRINTS:]}
-        for number in range(PRINTS):
-            proof = prints[(number + 1) % PRINTS]
-            found = [golay.keys(s).astype(np.int64) for s in _segments(prints[number].view(np.uint64))]
-            for i, j in ((0, 1), (0, 2), (1, 2)):
-                both = (found[i][:, :, None] << 12 | found[j][:, None, :]).reshape(len(ids), -1)
-                good = (nearest & (found[i][:, :, None] >= 0) & (found[j][:, None, :] >= 0)).reshape(len(ids), -1)
-                row, _ = np.nonzero(good)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((both[good] << 2 | i + j - 1) << 2 | number), pa.array(ids[row]), pa.array(proof[row]),
-                     *[c.take(pa.array(row)) for c in along.values()]], names=["key", "id", "proof", *along])
-
-
-def _led(keys, ids, proofs):
-    """Pairs (row, leader) and the leaders of rows sorted by key.
-
-    The first row of a key leads it; rows too far from it go on to the next round,
-    where the first of them leads, until every row has a leader or is one. All
-    keys take a round together.
-    """
-    rows, pairs, leaders = np.arange(len(keys)), [], []
-    while len(rows):
-        new = np.concatenate([[True], keys[rows[1:]] != keys[rows[:-1]]])
-        lead = rows[np.nonzero(new)[0][np.cumsum(new) - 1]]
-        near = np.bitwise_count(proofs[rows] ^ proofs[lead]) <= MOST_BITS
-        met = near & (ids[rows] != ids[lead])
-        pairs.append(np.stack([rows[met], lead[met]], axis=1))
-        leaders.append(rows[new])
-        rows = rows[~near & ~new]
-    return np.concatenate(pairs), np.sort(np.concatenate(leaders))
-
-
-MET = "id long, other long, key long, proof long"
-
-
-def _meetings(parts):
-    """Rows come sorted by key. Yields ``id, other`` of rows that are close, and the leaders of the
-    first and the last key of the task (``other`` null), as the same key may go on in the next task."""
-    def batch(i, other, key, proof):
-        return pa.RecordBatch.from_arrays([pa.array(i), other, pa.array(key), pa.array(proof)],
-                                          names=["id", "other", "key", "proof"])
-
-    held = [np.zeros(0, np.int64)] * 3
-    first = None
-    for part in parts:
-        if not part.num_rows:
-            continue
-        columns = [np.concatenate([h, c.to_numpy(zero_copy_only=False)]) for h, c in zip(held, part.columns)]
-        keys, ids, proofs = columns[0], columns[1], columns[2].view(np.uint64)
-        first = keys[0] if first is None else first
-        pairs, leaders = _led(keys, ids, proofs)
-        met = np.unique(np.stack([ids[pairs[:, 0]], ids[pairs[:, 1]]], axis=1), axis=0)
-        none = np.zeros(len(met), np.int64)
-        yield batch(met[:, 0], pa.array(met[:, 1]), none, none)
-        # leaders of the last key meet the rows of the next batch
-        ended = leaders[keys[leaders] != keys[-1]]
-        edge = ended[keys[ended] == first]
-        yield batch(ids[edge], pa.nulls(len(edge), pa.int64()), keys[edge], columns[2][edge])
-        last = leaders[keys[leaders] == keys[-1]]
-        held = [c[last] for c in columns]
-    yield batch(held[1], pa.nulls(len(held[1]), pa.int64()), held[0], held[2])
-
-
-def _close(kinds: DataFrame) -> DataFrame:
-    """``id, other``: pairs of ``kinds`` (``id``, ``p0``, ...) that share a key and are close in another fingerprint.
-
-    Keys are sorted over all tasks, so a frequent key spreads over many, and each
-    row meets the leaders of its key in its task. What leads the first or last key
-    of a task is then compared across tasks in the same way.
-    """
-    keyed = kinds.mapInArrow(_pairs_of_segments, "key long, id long, proof long")
-    order = ["key", "proof", "id"]
-    found = staged(keyed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_meetings, MET))
-    edges = found.where("other is null").select("key", "id", "proof")
-    across = edges.repartitionByRange("key").sortWithinPartitions(*order).mapInArrow(_meetings, MET)
-    return stack(found, across).where("other is not null").select("id", "other").distinct()
-
-
-LEFT, RIGHT, BOTH = 0, 1, 2
-
-
-def _apart(parts):
-    """Rows (``tile, id, proof, root, side``) come sorted by tile. Yields ``id, other`` of all rows of a tile
-    that are close and have different roots; a left one meets right ones only."""
-    held = None
-    for part in _and_end(parts):
-        columns = [c.to_numpy(zero_copy_only=False) for c in part.columns] if part is not None else None
-        if columns is not None:
-            if not part.num_rows:
-                continue
-            columns = columns if held is None else [np.concatenate(c) for c in zip(held, columns)]
-            whole = np.searchsorted(columns[0], columns[0][-1])  # the last tile may go on in the next batch
-            held, columns = [c[whole:] for c in columns], [c[:whole] for c in columns]
-        elif held is None:
-            return
-        else:
-            columns = held
-        tiles, ids, proofs, roots, sides = columns
-        proofs = proofs.view(np.uint64)
-        found, rows, step = [np.zeros((0, 2), np.int64)], np.arange(len(tiles)), 0
-        while len(rows):
-            step += 1
-            rows = rows[rows + step < len(tiles)]
-            rows = rows[tiles[rows] == tiles[rows + step]]
-            other = rows + step
-            met = (roots[rows] != roots[other]) & (np.bitwise_count(proofs[rows] ^ proofs[other]) <= MOST_BITS)
-            met &= (sides[rows] != sides[other]) | (sides[rows] == BOTH)
-            a, b = ids[rows[met]], ids[other[met]]
-            found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["id", "other"])
-
-
-def _and_end(parts):
-    yield from parts
-    yield None
-
-
-def _missed(seen: DataFrame, roots: DataFrame) -> DataFrame:
-    """``u, v``: numbers of all texts that share a key, are close, and have different roots so far.
-
-    Nothing is led here: every pair of rows of a key with different roots is looked at.
-    A key of many rows is cut into tiles. Its rows that do not have its most
-    frequent root stand left against all rows, so a large group that is linked
-    already costs as many looks as it has rows, times the number of strangers.
-    """
-    prints = [f"p{i}" for i in range(PRINTS)]
-    kinds = staged(seen.drop("id").join(roots.withColumnRenamed("node", "nid"), "nid", "left").select(
-        F.col("nid").alias("id"), "n_shingles", *prints, F.coalesce("root", "nid").alias("root")))
-    def keyed(rows):
-        return rows.select("id", *prints, "root").mapInArrow(
-            _pairs_of_segments, "key long, id long, proof long, root long")
-
-    of_key = (keyed(kinds.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLED)) == 0)).groupBy("key", "root").agg(F.count("*").alias("n"))
-              .groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("most")))
-    blocks = lambda n: F.ceil(n * SAMPLED / TILE)
-    large = staged(of_key.where(F.col("n") * SAMPLED > TILE).select(
-        "key", F.col("most.root").alias("most"), blocks(F.col("n")).alias("rights"),
-        F.greatest(blocks(F.col("n") - F.col("most.n")), F.lit(1)).alias("lefts")))
-    at = lambda n: F.pmod(F.xxhash64("id", "key"), F.col(n))
-    cell = lambda i, j, side: F.struct(
-        F.xxhash64("key", i.cast("long"), j.cast("long")).alias("tile"), F.lit(side).alias("side"))
-    lefts = F.when(F.col("root") != F.col("most"), F.transform(
-        F.sequence(F.lit(0).cast("long"), F.col("rights") - 1), lambda j: cell(at("lefts"), j, LEFT))).otherwise(F.array())
-    rights = F.transform(F.sequence(F.lit(0).cast("long"), F.col("lefts") - 1), lambda i: cell(i, at("rights"), RIGHT))
-    tiles = F.when(F.col("most").isNull(), F.array(F.struct(F.col("key").alias("tile"), F.lit(BOTH).alias("side")))).otherwise(
-        F.concat(lefts, rights))
-    dealt = keyed(kinds)
-    if not large.isEmpty():
-        dealt = dealt.join(large, "key", "left").select("id", "proof", "root", F.explode(tiles).alias("t")).select(
-            "t.tile", "id", "proof", "root", "t.side")
-    else:
-        dealt = dealt.select(F.col("key").alias("tile"), "id", "proof", "root", F.lit(BOTH).alias("side"))
-    met = dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(_apart, "id long, other long").distinct()
-    left, right = (kinds.select(F.col("id").alias(i), F.struct(F.col("id").alias("nid"), "n_shingles", *prints).alias(v))
-                   for i, v in (("id", "a"), ("other", "b")))
-    return _screened(met.join(left, "id").join(right, "other"))
-
-
-def _screened(met: DataFrame) -> DataFrame:
-    bits = " + ".join(f"bit_count(a.p{i} ^ b.p{i})" for i in range(PRINTS))
-    return (met.where("least(a.n_shingles, b.n_shingles) * 1.25 >= greatest(a.n_shingles, b.n_shingles)")
-            .where(f"{bits} <= {MOST_OF_ALL}").select(F.col("a.nid").alias("u"), F.col("b.nid").alias("v")))
-
-
-def _jaccard(parts):
-    for part in parts:
-        left, right = part.column("a_set"), part.column("b_set")
-        share = []
-        for a, b in zip(left, right):
-            x, y = a.values.to_numpy(zero_copy_only=False), b.values.to_numpy(zero_copy_only=False)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            share.append(both / max(1, len(x) + len(y) - both))
-        yield pa.RecordBatch.from_arrays([part.column("u"), part.column("v"), pa.array(share, type=pa.float64())],
-                                         names=["u", "v", "similarity"])
-
-
-def _sets(size):
-    def run(parts):
-        for part in parts:
-            sets = [np.unique(hashed(shingles(byte_words(t.as_py()), size))).view(np.int64) for t in part.column(1)]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, type=pa.list_(pa.int64()))],
-                                             names=["nid", "set"])
-    return run
-
-
-def _seen(docs: DataFrame, size: int) -> DataFrame:
-    """Every distinct text: ``node``, its number ``nid``, its fingerprints and ``n_shingles``; ``id`` is alike where the first
-    of them and the number of shingles are. Links and groups are made of the numbers; they are fixed when the rows are written."""
-    prints = [f"p{i}" for i in range(PRINTS)]
-    return staged(_prints(docs, size).groupBy("_h", "_g").agg(
-        F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in (*prints, "n_shingles")])
-        .withColumns({"node": _node(F.col("least")), "id": F.xxhash64("p0", "n_shingles"), "nid": F.monotonically_increasing_id()}))
-
-
-def _candidates(seen: DataFrame) -> DataFrame:
-    """``u, v``: numbers of texts whose shingle sets are compared first (see ``near_texts``)."""
-    prints = [f"p{i}" for i in range(PRINTS)]
-    kinds = staged(seen.groupBy("id").agg(F.min(F.struct("nid", "n_shingles", *prints)).alias("k")).select("id", "k.*"))
-    left, right = (kinds.select(F.col("id").alias(i), F.struct("nid", "n_shingles", *prints).alias(v))
-                   for i, v in (("id", "a"), ("other", "b")))
-    across = _screened(_close(kinds.select("id", *prints)).join(left, "id").join(right, "other"))
-    # texts of one first fingerprint and length: each against the first
-    within = (seen.select("id", "nid").join(right.select(F.col("other").alias("id"), F.col("b.nid").alias("v")), "id")
-              .where("nid <> v").select(F.col("nid").alias("u"), "v"))
-    return staged(stack(across, within).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-
-
-def _node(doc_id):
-    return F.struct(doc_id.isNull().alias("none"), doc_id.alias("least"), F.col("_h"), F.col("_g"))
-
-
-def _firsts(docs: DataFrame, seen: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The first document of each distinct text: ``_h, _g, row`` (all its columns), ``nid`` where ``pairs`` has it.
-
-    Spark keeps one row of each text in every task before the shuffle, and the join stays in that partitioning.
-    """
-    key = text_key(F.col("text"))
-    first = Window.partitionBy("_h", "_g").orderBy(F.col("row.doc_id").asc_nulls_last())
-    alone = (docs.select(*key, F.struct(*docs.columns).alias("row"))
-             .withColumn("place", F.row_number().over(first)).where("place = 1").drop("place"))
-    return alone.join(_nodes(seen, pairs), ["_h", "_g"], "left")
-
-
-def _links(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
-    """``u, v``: the pairs whose shingle sets are as similar as asked for; ``texts`` has ``nid`` and ``row`` of every text."""
-    texts = texts.select("nid", F.col("row.text").alias("text"))
-    sets = staged(texts.mapInArrow(_sets(size), texts.select("nid").schema.add("set", T.ArrayType(T.LongType()))))
-    linked = (pairs.join(sets.select(F.col("nid").alias("u"), F.col("set").alias("a_set")), "u")
-              .join(sets.select(F.col("nid").alias("v"), F.col("set").alias("b_set")), "v"))
-    linked = linked.mapInArrow(_jaccard, pairs.schema.add("similarity", "double"))
-    return staged(linked.where(F.col("similarity") >= similarity).select("u", "v"))
-
-
-def _grouped(seen: DataFrame, pairs: DataFrame, firsts: DataFrame, size: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """``nid, _h, _g, node, root`` of all linked texts, ``root`` the smallest node of the group, and the texts (``_h, _g``)
-    of the links that ``pairs`` did not have."""
-    roots = components(_links(pairs, firsts.where("nid is not null"), size, similarity))
-    missed = staged(_missed(seen, roots))
-    more = _links(missed, firsts.drop("nid").join(_nodes(seen, missed), ["_h", "_g"]), size, similarity)
-    late = staged(_nodes(seen, more).select("_h", "_g"))
-    if not late.isEmpty():
-        roots = components(stack(roots.select(F.col("node").alias("u"), F.col("root").alias("v")), more))
-    named = staged(seen.select("nid", "_h", "_g", "node").join(roots.select(F.col("node").alias("nid"), "root"), "nid"))
-    least = named.groupBy("root").agg(F.min("node").alias("least"))
-    return named.join(least, "root").select("nid", "_h", "_g", "node", F.col("least").alias("root")), late
-
-
-def _nodes(seen: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``_h, _g, nid`` of the texts in ``pairs``."""
-    some = pairs.select(F.explode(F.array("u", "v")).alias("nid")).distinct()
-    return seen.select("_h", "_g", "nid").join(some, "nid", "left_semi")
-
-
-def near_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``_h, _g, node, root``: distinct texts that have a near duplicate, with the smallest node of their group.
-
-    A node is a distinct text, named by its smallest ``doc_id`` and its key (null ids
-    come last). Texts meet when in one of ``PRINTS`` independent fingerprints two of
-    three segments decode to a common code word; each is first compared with the
-    leaders of the key (see ``_led``), so copies cost one comparison each. A leader
-    may be close in bits and yet not similar enough, so all pairs of a key that
-    these links leave in different groups are then compared too (see ``_missed``):
-    no text of a key hides another. Candidates differ in at most
-    ``MOST_BITS`` bits of another fingerprint and ``MOST_OF_ALL`` bits of all; their
-    sets are within a factor of 1.25 in size, as they must be. A link stands if the
-    Jaccard similarity of the shingle sets is at least ``similarity``.
-    """
-    seen = _seen(docs, size)
-    pairs = _candidates(seen)
-    roots, _ = _grouped(seen, pairs, staged(_firsts(docs, seen, pairs), "zstd"), size, similarity)
-    return roots.select("_h", "_g", "node", "root")
-
-
-def one_of_each(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` with one document left of each group of exact or near duplicates: that of the smallest ``doc_id``.
+def one_of_each(docs: DataFrame, size: int = 3, paired: int = PAIRED) -> DataFrame:
+    """``docs`` with one document left of each component: that of the smallest ``doc_id`` (null ids last, then by text hash).
 
     Columns stay as they are, whatever their names. Null and empty texts are one
-    group; of rows alike in id and text one stays. Texts are shuffled once, to find
-    the first of each; those without a candidate pair then meet the texts of the late links only.
+    component; of rows alike in id and text one stays. Only keys and fingerprints
+    are grouped; texts meet the keys of the documents that go, and those of rows
+    alike, which are shuffled if there are any.
     """
-    seen = _seen(docs, size)
-    pairs = _candidates(seen)
-    firsts = staged(_firsts(docs, seen, pairs), "zstd")
-    roots, late = _grouped(seen, pairs, firsts, size, similarity)
-    gone = staged(roots.where("node <> root").select("_h", "_g"))
-    late = late.join(gone, ["_h", "_g"], "left_semi")
-    left = firsts.where("nid is not null").join(gone, ["_h", "_g"], "left_anti")
-    alone = firsts.where("nid is null").join(late, ["_h", "_g"], "left_anti")
-    return stack(alone.select("row.*"), left.select("row.*"))
+    key = ["doc_id", "_h", "_g"]
+    prints = staged(fingerprints(docs.select("doc_id", *text_key(F.col("text")), "text"), size, tuple(key)).drop("n_shingles"))
+    keys = prints.groupBy(*key, "fingerprint").agg(F.count("*").alias("n"))
+    keyed = staged(keys.join(_roots(prints, paired), "fingerprint").select(
+        "root", "n", F.struct(F.col("doc_id").isNull().alias("none"), *key).alias("k")))
+    least = keyed.groupBy("root").agg(F.min("k").alias("least"))
+    placed = staged(keyed.join(least, "root").select("k.*", "n", (F.col("k") == F.col("least")).alias("stays")))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", *text_key(F.col("text")))
+    left = join_safe(rows, placed.where("not stays").select(*key), key, "left_anti")
+    alike = placed.where("stays and n > 1").select(*key)
+    if alike.isEmpty():
+        return left.select("row.*")
+    once = join_safe(left, alike, key, "left_anti")
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1)))  # one row of each is kept before the shuffle
+    several = join_safe(left, alike, key, "left_semi").withColumn("place", place).where("place = 1")
+    return stack(once.select("row.*"), several.select("row.*"))

@@ -215,6 +215,8 @@ def test_language(spark, odd):
     assert language.identify(odd.limit(0), model).count() == 0
     assert {r.lang_pred for r in language.identify(odd, language.train(odd.limit(0))).collect()} == {"und"}
     assert language.in_a_language(odd, model).columns == odd.columns
+    unlearned = language.in_a_language(odd, language.train(odd.limit(0))).collect()
+    assert Counter(r.text for r in unlearned) == Counter(r.text for r in odd.collect() if language.has_letter(r.text))
     whole = "uno dos tres " * (language.CHUNK // 8)
     assert abs(float((language.features(whole) ** 2).sum()) - 1) < 1e-4
 
