@@ -24,7 +24,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of exact and near copies stays (five-word shingles, similarity 0.8)."""
+    """One document of each group of copies stays (three-word shingles, fingerprints linked at two or fewer bits)."""
     return simhash.one_of_each(docs)
 
 
