@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marlstone.functions import text as tx
 from marlstone.operators import personal_data as pd_
 from marlstone.sources import documents
+from marlstone.sources.split_csv import csv_records
 from marlstone.sources.tables import write_json_report
 from marlstone.session import stack
 
@@ -23,11 +24,10 @@ class UnexpectedPersonalData(RuntimeError):
 
 def scan_csv(spark: SparkSession, path: str, sample_rows: int | None = None, **options) -> DataFrame:
     """Findings of one CSV file (or glob of files with the same columns)."""
-    df = documents.read_csv(spark, path)
-    columns = df.columns
-    df = df.withColumn("_file", F.col("_metadata.file_path")).withColumn("_at", F.monotonically_increasing_id())
-    df = documents.first_rows_per_file(df, sample_rows)
-    return pd_.column_findings(pd_.table_cells(df, columns, F.col("_file"), F.col("_at")), **options)
+    columns = documents.csv_header(spark, path)
+    df = documents.first_rows_per_file(csv_records(spark, path), sample_rows, at="_row")
+    df = df.select(*[F.col("_record").getField(c).alias(c) for c in columns], F.struct("_file", "_row").alias("_of"))
+    return pd_.column_findings(pd_.table_cells(df, columns, F.col("_of._file"), F.col("_of._row")), **options)
 
 
 def scan_texts(spark: SparkSession, folder: str, **options) -> DataFrame:

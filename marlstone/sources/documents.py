@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from marlstone.session import stack
+from marlstone.sources.split_csv import csv_records
+from marlstone.sources.split_csv import header as csv_header
 
 log = logging.getLogger(__name__)
 
@@ -31,17 +33,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV file; reads no data rows."""
-    return spark.read.option("header", True).csv(path).columns
-
-
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              multi_line: bool = True) -> DataFrame:
     """CSV with a header; without a schema every column is text, nothing is inferred.
 
-    Without ``multi_line`` large files are split over tasks, but quoted values
-    must not contain line breaks.
+    With ``multi_line`` every file is read by one task; ``split_csv.csv_records`` splits
+    such files. Without it quoted values must not contain line breaks.
     """
     if schema is None:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in csv_header(spark, path)])
@@ -51,28 +48,20 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     )
 
 
-def csv_documents(spark: SparkSession, path: str, key: str | None = "id", multi_line: bool = True) -> DataFrame:
+def csv_documents(spark: SparkSession, path: str, key: str | None = "id") -> DataFrame:
     """One document per row; the text is ``abstract``, else the first column.
 
     ``key`` names the column that identifies a row. Without it the row number in
-    the file is used; that needs ``multi_line``, where a file is read by one task
-    and its rows are numbered in a row.
+    the file is used. Large files are read by many tasks (see ``split_csv``).
     """
-    df = read_csv(spark, path, multi_line=multi_line)
-    columns = df.columns
-    df = df.withColumn("source", F.col("_metadata.file_path"))
+    columns = csv_header(spark, path)
+    record = F.col("_record")
     text = "abstract" if "abstract" in columns else columns[0]
-    if key and key in columns:
-        df = df.withColumn("row", F.col(key).try_cast("long"))
-    elif multi_line:
-        df = df.withColumn("_at", F.monotonically_increasing_id())
-        first = df.groupBy("source").agg(F.min("_at").alias("_first"))
-        df = df.join(first, "source").withColumn("row", F.col("_at") - F.col("_first"))
-    else:
-        raise ValueError("a key column is needed when files are split over tasks")
-    extra = [F.col(c) if c in columns else F.lit(None).cast("string").alias(c) for c in ("title", "category")]
+    row = record.getField(key).try_cast("long") if key and key in columns else F.col("_row")
+    df = csv_records(spark, path).withColumns({"source": F.col("_file"), "row": row})
+    extra = [record.getField(c).alias(c) if c in columns else F.lit(None).cast("string").alias(c) for c in ("title", "category")]
     return df.select(
-        F.concat_ws("#", "source", "row").alias("doc_id"), F.col(text).alias("text"), "source",
+        F.concat_ws("#", "source", "row").alias("doc_id"), record.getField(text).alias("text"), "source",
         F.lit("article").alias("type"), "row", *extra)
 
 
