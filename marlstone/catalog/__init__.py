@@ -3,7 +3,7 @@
 from importlib import import_module
 
 PARTS = ("text", "retrieval", "vectors", "evaluation", "medallion", "graph", "personal_data", "conversations",
-         "streams")
+         "streams", "files")
 
 
 def _merged(attribute):
