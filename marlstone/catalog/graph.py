@@ -147,11 +147,11 @@ def graph_context_lines(spark, sf):
 
 
 def graph_merge_nodes(spark, sf):
-    """Customers meet a batch with one row per order: known keys are updated, unknown ones created."""
-    old = g.make_nodes(table(spark, sf, "customer").filter(F.col("c_acctbal") > 0), "Customer", "c_custkey", "c_name",
+    """Customers meet a batch with one row per order, half of them under new keys: known keys are updated, unknown ones created."""
+    old = g.make_nodes(table(spark, sf, "customer"), "Customer", "c_custkey", "c_name",
                        ["c_mktsegment", "c_acctbal"])
     batch = table(spark, sf, "orders").select(
-        F.lit("Customer").alias("label"), F.col("o_custkey").cast("string").alias("id"),
+        F.lit("Customer").alias("label"), (F.col("o_custkey") + F.col("o_custkey") % 2 * 1_000_000_000).cast("string").alias("id"),
         F.lit(None).cast("string").alias("name"), "o_orderkey",
         F.create_map(F.lit("status"), "o_orderstatus", F.lit("c_acctbal"), F.lit("0")).alias("props"))
     merged = g.merge_nodes(old, batch, order="o_orderkey")
@@ -318,8 +318,9 @@ SELECT q.query_id, coalesce(string_agg('- ' || coalesce(f.name, '?') || ' (' ||
   || ' / ' || f.direction || ']', chr(10) ORDER BY f.rank), '- ? (?) [? / ?]') AS context
 FROM asked q LEFT JOIN found f ON f.query_id = q.query_id GROUP BY q.query_id""",
     "graph_merge_nodes": """
-WITH old AS (SELECT * FROM customer WHERE c_acctbal > 0),
-new AS (SELECT o_custkey, arg_max(o_orderstatus, o_orderkey) AS status FROM orders GROUP BY o_custkey)
+WITH old AS (SELECT * FROM customer),
+new AS (SELECT o_custkey + o_custkey % 2 * 1000000000 AS o_custkey, arg_max(o_orderstatus, o_orderkey) AS status
+  FROM orders GROUP BY ALL)
 SELECT 'Customer:' || coalesce(c_custkey, o_custkey) AS node_key, 'Customer' AS label,
   coalesce(c_custkey, o_custkey)::VARCHAR AS id, c_name AS name, c_mktsegment AS segment,
   CASE WHEN o_custkey IS NULL THEN c_acctbal::VARCHAR ELSE '0' END AS acctbal, status

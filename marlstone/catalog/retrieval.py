@@ -51,8 +51,9 @@ def bm25_stored(spark, sf):
 
 
 def bm25_padded(spark, sf):
-    """Queries made of one rare word each: short lists are filled up."""
-    asked = questions(spark, sf).withColumn("text", F.element_at(F.split("text", " "), -1))
+    """Every word of a passage is a query of its own: short lists are filled up."""
+    asked = questions(spark, sf).select("query_id", F.posexplode(F.split("text", " ")).alias("at", "text"))
+    asked = asked.withColumn("query_id", F.concat_ws("_", "query_id", "at"))
     return lexical.bm25_search(corpus(spark, sf), asked, 10, pad=True)
 
 
@@ -243,6 +244,9 @@ shortlist AS (SELECT f.query_id, f.chunk_id, f.rank AS first_rank, s.score AS re
 final AS (SELECT * FROM (SELECT *, row_number() OVER (
     PARTITION BY query_id ORDER BY rerank_score DESC, first_rank, chunk_id) AS rank FROM shortlist) WHERE rank <= 5)"""
 
+_WORD_QUERIES = """
+SELECT item_id || '_' || (i - 1) AS query_id, w[i] AS text
+  FROM (SELECT item_id, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT item_id, string_split(text, ' ') AS w FROM benchmark))"""
 SQL = {
     "bm25_stats": f"""
 SELECT count(*) AS n, round(avg(len({tokens_sql('text')})), 6) AS avgdl FROM documents""",
@@ -253,7 +257,7 @@ FROM (SELECT doc_id, unnest({tokens_sql('text')}) AS term FROM documents) GROUP
     "bm25_stored": f"WITH {bm25_ctes()}, {ranked_cte('b', 'bm25_scores', 10)} {_OUT} b",
     "bm25_okapi": f"WITH {bm25_ctes(okapi=True)}, {ranked_cte('b', 'bm25_scores', 10)} {_OUT} b",
     "bm25_padded": f"""
-WITH {bm25_ctes(queries="SELECT item_id AS query_id, string_split(text, ' ')[-1] AS text FROM benchmark")},
+WITH {bm25_ctes(queries=_WORD_QUERIES)},
 padded AS (SELECT q.query_id, c.chunk_id, coalesce(s.score, 0) AS score
   FROM bm_q q CROSS JOIN bm_c c LEFT JOIN bm25_scores s USING (query_id, chunk_id)),
 {ranked_cte('b', 'padded', 10)} {_OUT} b""",

@@ -80,9 +80,8 @@ def chunk_semantic(spark, sf):
 
 def chunk_markdown(spark, sf):
     """Every line of a document becomes a section under its own header."""
-    docs = _docs(spark, sf).withColumn("text", F.regexp_replace("text", "\n", "\n## "))
-    return chunking.chunk_markdown(docs.filter(F.contains("text", F.lit("\n")))).select(
-        "doc_id", "chunk_pos", "content")
+    docs = _docs(spark, sf).withColumn("text", F.concat(F.lit("## "), F.regexp_replace("text", "\n", "\n## ")))
+    return chunking.chunk_markdown(docs).select("doc_id", "chunk_pos", "content")
 
 
 def chunk_recursive(spark, sf):
@@ -244,7 +243,7 @@ UNION ALL
 SELECT doc_id, 0, text FROM s WHERE len(l) < 2 AND regexp_matches(text, '\\S')""",
     "chunk_markdown": f"""
 WITH md AS (
-  SELECT doc_id, replace(text, chr(10), chr(10) || '## ') AS t FROM documents WHERE contains(text, chr(10))),
+  SELECT doc_id, '## ' || replace(text, chr(10), chr(10) || '## ') AS t FROM documents),
 cut AS (SELECT doc_id, regexp_extract_all(t, '{_HEADER}') AS h, string_split_regex(t, '{_HEADER}') AS g FROM md),
 sec AS (SELECT doc_id, i, h[i + 1] || g[i + 2] AS body FROM (SELECT *, unnest(range(0, len(h))) AS i FROM cut))
 SELECT doc_id, CAST(i AS INTEGER) AS chunk_pos,
