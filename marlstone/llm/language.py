@@ -8,6 +8,7 @@ pair of languages votes. All are fitted on a bounded sample of labelled document
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -110,6 +111,18 @@ class LanguageModel:
                 rows = (labels_ == a) | (labels_ == b)
                 self.of_pair[a, b] = fit_machine(x[rows], labels_[rows] == a)
 
+    def plain(self) -> dict:
+        """Labels and weights as plain values, which ``restored`` takes."""
+        machines = {name: {k: (m.weights, m.bias, m.slope) for k, m in getattr(self, name).items()} for name in ("of_family", "of_pair")}
+        return {"languages": self.languages, "families": self.families, "members": self.members, **machines}
+
+    @classmethod
+    def restored(cls, plain: dict) -> LanguageModel:
+        model = cls(np.zeros((0, DIM), dtype=np.float32), [])
+        for name, value in plain.items():
+            setattr(model, name, {k: Machine(*m) for k, m in value.items()} if name.startswith("of_") else value)
+        return model
+
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         n = len(x)
         names, scores = np.full(n, UNKNOWN, dtype=object), np.zeros(n)
@@ -152,7 +165,19 @@ def training_rows(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     return some.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= each).select("lang", "text")
 
 
+def _fit(parts):
+    """The model of all rows (``lang, places, values``) of one task, which are at most the sample, in an order of their own."""
+    rows = [r for part in parts for r in zip(part.column(0).to_pylist(), *[
+        [v.values.to_numpy() for v in part.column(i)] for i in (1, 2)])]
+    rows.sort(key=lambda r: (r[0], r[1].tobytes(), r[2].tobytes()))
+    x = np.zeros((len(rows), DIM), dtype=np.float32)
+    for at, (_, places, values) in enumerate(rows):
+        x[at, places] = values
+    yield pa.record_batch([pa.array([pickle.dumps(LanguageModel(x, [r[0] for r in rows]).plain())], pa.binary())], names=["model"])
+
+
 def train(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
+    """The machines, fitted in one task on the bounded sample; the driver receives their weights only."""
     def run(parts):
         for part in parts:
             vectors = [features(t.as_py()) for t in part.column(1)]
@@ -161,14 +186,9 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
                 [part.column(0), pa.array(places, pa.list_(pa.int16())),
                  pa.array([v[p] for v, p in zip(vectors, places)], pa.list_(pa.float32()))], names=["lang", "places", "values"])
 
-    rows = training_rows(docs, sample).mapInArrow(run, "lang string, places array<short>, values array<float>").toLocalIterator()
-    x, labels = np.zeros((sample, DIM), dtype=np.float32), []
-    for row in rows:
-        if len(labels) == len(x):  # more languages than rows
-            x = np.vstack([x, np.zeros((sample, DIM), dtype=np.float32)])
-        x[len(labels), row.places] = row["values"]
-        labels.append(row.lang)
-    return LanguageModel(x[: len(labels)], labels)
+    rows = training_rows(docs, sample).mapInArrow(run, "lang string, places array<short>, values array<float>")
+    found = rows.repartition(1).mapInArrow(_fit, "model binary").first()
+    return LanguageModel.restored(pickle.loads(found.model) if found else {})
 
 
 def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id") -> DataFrame:

@@ -265,6 +265,17 @@ def vocabulary(own: Encoder, end_id: int) -> int:
     return max(own.tokenizer.get_vocab_size(), end_id + 1)
 
 
+def described(spark, tokenizer: str, end_id: int) -> tuple[np.dtype, int]:
+    """The type of an id and the size of the vocabulary, asked of an executor: the driver never loads the tokenizer."""
+    def run(parts):
+        for part in parts:
+            own = encoder(tokenizer)
+            yield pa.record_batch([pa.array([own.type.str]), pa.array([vocabulary(own, end_id)])], names=["kind", "size"])
+
+    kind, size = spark.range(0, 1, 1, 1).mapInArrow(run, "kind string, size long").first()
+    return np.dtype(kind), size
+
+
 def count_ids(ids: DataFrame, size: int) -> np.ndarray:
     """How often each id occurs in the corpus, from the ``counts`` of the tasks that coded it. What
     reaches the driver is one number per entry of the vocabulary."""
@@ -289,8 +300,7 @@ def encode(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -
     alike are written as often as they occur; other columns are ignored. Documents
     are dealt into ranges of ids, so no task sorts more than its range.
     """
-    own = encoder(tokenizer)
-    kind, size = own.type, vocabulary(own, end_id)
+    kind, size = described(docs.sparkSession, tokenizer, end_id)
     ids = staged(token_ids(docs, tokenizer, end_id), compression="uncompressed")
     table = Table.of_counts(count_ids(ids, size))
     ids = ids.where("counts is null").drop("counts")
