@@ -198,7 +198,7 @@ FROM (SELECT source, no, 'Article ' || no || ': ' || text AS line
 GROUP BY source""",
     "fitting_documents": """
 SELECT source, doc_id, CAST(running AS BIGINT) AS running_size
-FROM (SELECT source, doc_id, sum(greatest(n_chars, 1)) OVER (PARTITION BY source ORDER BY doc_id) AS running
+FROM (SELECT source, doc_id, sum(n_chars) OVER (PARTITION BY source ORDER BY doc_id) AS running
       FROM documents)
 WHERE running <= 8000""",
     "chunk_fixed": """

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marlstone.functions import text as tx
 from marlstone.functions import vector as vx
+from marlstone.session import stack
 
 
 def category_counts(df: DataFrame, category: str) -> DataFrame:
@@ -78,15 +79,23 @@ def pack_context(df: DataFrame, text: str, position: str, per: str, first_n: int
 
 
 def fitting_texts(df: DataFrame, size: Column, position: str, per: str, budget: int) -> DataFrame:
-    """The leading rows of each group whose running size stays within ``budget`` (sizes at least 1).
+    """The leading rows of each group whose running size stays within ``budget``.
 
-    At most ``budget`` rows can fit, so every task drops the others before the shuffle.
+    At most ``budget`` rows of a size can fit, so every task drops the others before
+    the shuffle. Rows of size 0 (or null) use up nothing: they are left out of the
+    ranking, and then take the running size of the last row before them.
     """
+    sized = df.withColumn("_size", F.greatest(F.coalesce(size, F.lit(0)), F.lit(0)).cast("long"))
     w = Window.partitionBy(per).orderBy(position)
-    leading = df.withColumn("_size", F.greatest(size, F.lit(1))).withColumn(
-        "_no", F.row_number().over(w)).filter(F.col("_no") <= budget)
-    return leading.withColumn("running_size", F.sum("_size").over(w)).filter(
-        F.col("running_size") <= budget).drop("_size", "_no")
+    leading = sized.filter("_size > 0").withColumn("_no", F.row_number().over(w)).filter(F.col("_no") <= budget + 1)
+    leading = leading.withColumn("running_size", F.sum("_size").over(w)).drop("_size", "_no")
+    steps = leading.groupBy(F.col(per).alias("_per")).agg(  # at most ``budget`` + 1 of a group
+        F.sort_array(F.collect_list(F.struct(F.col(position).alias("at"), "running_size"))).alias("_steps"))
+    empty = sized.filter("_size = 0").drop("_size").join(steps, F.col(per).eqNullSafe(F.col("_per")), "left")
+    before = F.element_at(F.filter("_steps", lambda s: s["at"] < F.col(position)), -1)["running_size"]
+    before = F.when(F.exists("_steps", lambda s: s["at"] < F.col(position)), before).otherwise(F.lit(0).cast("long"))
+    empty = empty.withColumn("running_size", before).drop("_steps", "_per")
+    return stack(leading, empty).filter(F.col("running_size") <= budget)
 
 
 def pca(df: DataFrame, key: str, vector: str = "embedding", k: int = 2) -> DataFrame:

@@ -35,3 +35,11 @@ def test_packing_keeps_numbers_and_budget(spark):
     assert profile.pack_context(docs, "t", "pos", "g", first_n=3, budget=5).first()["context"] == "Artic"
     fitting = profile.fitting_texts(docs, F.coalesce(F.length("t"), F.lit(0)), "pos", "g", 3)
     assert [r["pos"] for r in fitting.orderBy("pos").collect()] == [1, 2]
+
+
+def test_texts_of_no_size_use_up_nothing(spark):
+    rows = [("a", i, 0) for i in range(50)] + [("a", 100, 3), ("a", 101, None), ("a", 102, 2), ("a", 103, 0), ("a", 104, 1), ("a", 105, 0)]
+    rows += [("b", 1, 9), ("b", 2, 0), (None, 1, 0), (None, 2, 5)]
+    df = spark.createDataFrame(rows, "g string, at int, n int")
+    got = {(r.g, r.at): r.running_size for r in profile.fitting_texts(df, F.col("n"), "at", "g", 5).collect()}
+    assert got == {**{("a", i): 0 for i in range(50)}, ("a", 100): 3, ("a", 101): 3, ("a", 102): 5, ("a", 103): 5, (None, 1): 0, (None, 2): 5}
