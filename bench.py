@@ -21,7 +21,7 @@ HEADLINE = (
     "latency_summary", "stg_funds", "fund_year_metrics", "dim_funds", "fact_transactions", "fund_lookup",
     "graph_related", "graph_chain", "graph_coref_counts", "graph_degree", "graph_hops", "graph_merge_edges",
     "pii_findings", "pii_redact", "pii_text_findings", "entity_extract", "conversation_state", "prompt_assembly",
-    "assistant_answers", "conversation_stream", "incremental_index",
+    "assistant_answers", "conversation_stream", "incremental_index", "score_gap", "recall_exact", "bm25_stored",
 )
 
 

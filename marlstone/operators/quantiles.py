@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from marlstone.session import stack, staged
 
-SORTED = 10_000  # rows of a cell that one task may sort
+SORTED = 100_000  # rows of a cell that one task may sort
 SPLITTERS = 128  # buckets of a round, about
 
 
