@@ -20,6 +20,8 @@ from marlstone.functions import text as tx
 
 VECTOR = T.ArrayType(T.FloatType())
 SIMILARITIES = T.ArrayType(T.DoubleType())
+# Rows whose places are counted at one time inside a task.
+ROWS_AT_ONCE = 256
 
 
 def _unit_rows(matrix: np.ndarray) -> np.ndarray:
@@ -88,10 +90,12 @@ class HashingEmbedder(Embedder):
         dim, weights = self.dim, self.place_weights
 
         def count(lists: pa.ListArray) -> np.ndarray:
-            rows = np.repeat(np.arange(len(lists)), _lengths(lists))
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            cells = np.bincount(rows * dim + flat, minlength=len(lists) * dim)
-            matrix = cells.reshape(len(lists), dim).astype(np.float64)
+            matrix = np.zeros((len(lists), dim))
+            for at in range(0, len(lists), ROWS_AT_ONCE):
+                part = lists.slice(at, ROWS_AT_ONCE)
+                rows = np.repeat(np.arange(len(part)), _lengths(part))
+                flat = part.flatten().to_numpy(zero_copy_only=False)
+                matrix[at:at + len(part)] = np.bincount(rows * dim + flat, minlength=len(part) * dim).reshape(len(part), dim)
             return matrix if weights is None else matrix * np.asarray(weights)
 
         return count

@@ -180,3 +180,48 @@ def test_more_than_twenty_holders(spark):
     want = corpus.crossJoin(golden).filter(evaluation.is_relevant(F.col("content"), F.col("context")))
     assert got == sorted(tuple(r) for r in want.select("query_id", "chunk_id").collect())
     assert len([c for q, c in got if q == 1]) == 32
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_queries_of_the_same_terms_are_scored_once(spark, corpus, monkeypatch):
+    """More queries than a batch may have, but few that differ: no join on the terms."""
+    asked = spark.createDataFrame([(f"{w}_{i}", w) for i in range(20) for w in ("the le", "le THE", "der", "zzz", None)],
+                                  "query_id string, text string")
+    columns = ("query_id", "rank", "chunk_id", "score")
+    want = rows(lexical.bm25_search(corpus, asked, 3, pad=True), *columns)
+    monkeypatch.setattr(lexical, "QUERY_BLOCK", 4)
+    found = lexical.bm25_search(corpus, asked, 3, pad=True)
+    assert "MapInArrow" in _plan(found) and rows(found, *columns) == want
+    monkeypatch.setattr(lexical, "BAG_BLOCK", 1)
+    assert rows(lexical.bm25_search(corpus, asked, 3, pad=True), *columns) == want
+
+
+def test_every_score_needs_no_shuffle_and_merges_repeated_ids(spark, corpus, queries):
+    columns = ("query_id", "chunk_id", "score")
+    again = spark.createDataFrame([(1, "the le la"), (1, "the le la"), (1, "the"), (None, "le"), (None, "le la"), (2, None)],
+                                  "chunk_id long, content string")
+    for docs in (corpus.select("chunk_id", "content"), corpus.select("chunk_id", "content").union(again), corpus.limit(0)):
+        plain = lexical.bm25_scores(lexical.lexical_index(docs), queries).withColumn("score", F.round("score", 9))
+        keyed = lambda df: {(r.query_id, r.chunk_id): r.score for r in df.collect()}
+        want, got = keyed(plain), lexical.every_score(docs, queries)
+        assert tuple(got.columns) == columns and keyed(got) == pytest.approx(want, abs=2e-9)
+    assert "Aggregate" not in _plan(lexical.every_score(corpus, queries))
+
+
+def test_a_scan_holds_few_entries_at_a_time(monkeypatch):
+    import pyarrow as pa
+
+    from marlstone.operators import scan
+    monkeypatch.setattr(scan, "LIST_ENTRIES", 10)
+    lists = [[1] * n for n in (3, 3, 3, 3, 25, 0, 1)] + [None]
+    batch = pa.record_batch([pa.array(range(8)), pa.array(lists, pa.list_(pa.int64()))], names=["id", "l"])
+    parts = [p.column(0).to_pylist() for p in scan.parts_of(batch, 3)]
+    assert parts == [[0, 1, 2], [3], [4], [5, 6, 7]]
+
+
+def test_large_tables_meet_in_few_tiles(spark):
+    """The vectors are copied once per block of 32,768 queries and not once per 4,096."""
+    assert dense.TILE_QUERIES >= 8 * dense.QUERY_BLOCK and dense.TILE_ROWS >= 200_000
