@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +22,7 @@ from marlstone.session import stack
 # Separators of the recursive strategy, strongest first.
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
 PARENT_SEPARATORS = ("\n\n", "\n", ". ", " ")
+PIECES, TEXTS_AT_ONCE = pa.list_(pa.string()), 64
 HEADER = r"(?md)^#{1,3}\s+.+$"
 
 
@@ -118,9 +119,13 @@ def recursive_pieces(text: Column, size: int, overlap: int, separators: tuple[st
     """``array<string>`` of the recursive strategy (an Arrow-batched function)."""
     _check_overlap(size, overlap)
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def cut(bodies: pd.Series) -> pd.Series:
-        return bodies.map(lambda b: [] if b is None else split_recursive(b, size, overlap, separators))
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def cut(bodies: pa.Array) -> pa.Array:
+        parts = [pa.array([], PIECES)]
+        for at in range(0, len(bodies), TEXTS_AT_ONCE):  # only so many texts are Python strings at one time
+            texts = bodies.slice(at, TEXTS_AT_ONCE).to_pylist()
+            parts.append(pa.array([[] if t is None else split_recursive(t, size, overlap, separators) for t in texts], PIECES))
+        return pa.concat_arrays(parts)
 
     return cut(text)
 

@@ -86,3 +86,12 @@ def test_parent_child_ids(spark):
 def test_unknown_strategy(spark):
     with pytest.raises(ValueError, match="fixed"):
         ch.chunk_documents(docs(spark, "a"), "nope")
+
+
+def test_recursive_pieces_are_cut_a_few_texts_at_a_time(spark, monkeypatch):
+    texts = [None, "", "a b", "x" * 9, "one two. three\n\nfour"] * 7
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(ch, "TEXTS_AT_ONCE", 2)
+    got = sorted((r.doc_id, r.chunk_pos, r.content) for r in ch.chunk_recursive(docs, 6, 2).collect())
+    want = [(i, n, p) for i, t in enumerate(texts) for n, p in enumerate(ch.split_recursive(t, 6, 2, ch.SEPARATORS) if t else [])]
+    assert got == sorted(want)
