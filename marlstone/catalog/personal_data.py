@@ -62,7 +62,7 @@ def pii_names(spark, sf):
     cells = stack(
         pd_.table_cells(docs, ["text"], F.lit("documents"), F.col("doc_id")),
         pd_.table_cells(table(spark, sf, "conversations"), ["text"], F.lit("conversations"), F.col("conv_id")))
-    return pd_.column_findings(cells, (names,)).select("file_path", "entity_type", "row_count_with_pii", "allowed")
+    return pd_.column_counts(cells, (names,)).select("file_path", "entity_type", "row_count_with_pii", "allowed")
 
 
 def _text_findings(spark, sf) -> DataFrame:
@@ -83,15 +83,15 @@ def pii_spans(spark, sf):
 
 
 def pii_gate(spark, sf):
-    return pd_.scan_summary(_findings(spark, sf))
+    return pd_.scan_summary(pd_.column_counts(_cells(spark, sf)))
 
 
 def pii_per_file(spark, sf):
-    return pd_.findings_per_file(_findings(spark, sf))
+    return pd_.findings_per_file(pd_.column_counts(_cells(spark, sf)))
 
 
 def pii_status(spark, sf):
-    return pd_.status_table(_findings(spark, sf))
+    return pd_.status_table(pd_.column_counts(_cells(spark, sf)))
 
 
 QUERIES = {f.__name__: f for f in (

@@ -90,3 +90,18 @@ def test_lookup(spark):
     table = {"nl": "Dutch"}
     got = one(spark, [("NL",), ("nl",), ("be",)], "k string", keys.lookup(F.col("k"), table, "none"))
     assert [g[0] for g in got] == ["Dutch", "Dutch", "none"]
+
+
+def test_findings_read_texts_again_only_for_examples(spark):
+    cells = spark.createDataFrame(
+        [("f", None, "c", "null a@b.nl"), ("f", 3, "c", "a@b.nl 2020-01-01"), ("f", 3, "c", "A a@b.nl"), ("f", 5, "c", "z@b.nl"),
+         ("f", 9, "c", "q@b.nl"), ("f", 1, "d", "nothing"), (None, 1, "c", "a@b.nl"), ("g", None, "c", "x@b.nl")],
+        "file_path string, row_pos long, column_name string, value string")
+    found = {(r.file_path, r.entity_type): (r.row_count_with_pii, r.example_values) for r in pd_.column_findings(cells).collect()}
+    mail = "<EMAIL_ADDRESS>"
+    assert found == {("f", "EMAIL_ADDRESS"): (5, [f"null {mail}", f"{mail} 2020-01-01", f"A {mail}"]),
+                     ("f", "DATE_TIME"): (1, ["a@b.nl <DATE_TIME>"]), ("g", "EMAIL_ADDRESS"): (1, [mail])}
+    counts = pd_.column_counts(cells)
+    assert sorted((r.file_path, r.entity_type, r.row_count_with_pii) for r in counts.collect()) == [
+        ("f", "DATE_TIME", 1), ("f", "EMAIL_ADDRESS", 5), ("g", "EMAIL_ADDRESS", 1)]
+    assert "Join" not in counts._jdf.queryExecution().optimizedPlan().toString()
