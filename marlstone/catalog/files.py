@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.catalog import medallion as raw
@@ -77,11 +77,18 @@ def found_files(spark, sf):
 
 
 def first_csv_rows(spark, sf):
-    """The first three rows of a file for each language, in reading order."""
-    kept = table(spark, sf, "documents").select("lang", "doc_id", "text").repartition("lang").sortWithinPartitions("lang", "doc_id")
+    """The first three rows of a CSV file in parts for each language, in reading order.
+
+    The rows are sorted over all tasks, so a language is a folder of parts whose names
+    stand in reading order, and no task writes or reads more than its range.
+    """
+    kept = table(spark, sf, "documents").select("lang", "doc_id", "text")
+    kept = kept.repartitionByRange("lang", "doc_id").sortWithinPartitions("lang", "doc_id")
     path = _write_csv(kept, _place(spark), "lang")
-    first = documents.first_rows_per_file(csv_records(spark, path), 3, "_file", "_row")
-    return first.select(F.regexp_extract("_file", "lang=([^/]+)", 1).alias("lang"), F.col("_row").alias("row"),
+    records = csv_records(spark, path).withColumn("_folder", F.regexp_extract("_file", "lang=([^/]+)", 1))
+    first = documents.first_rows_per_file(records, 3, "_folder", F.struct("_file", "_row"))
+    row = F.row_number().over(Window.partitionBy("_folder").orderBy("_file", "_row")) - 1  # of the three that are left
+    return first.select(F.col("_folder").alias("lang"), row.cast("long").alias("row"),
                         F.col("_record.doc_id").cast("long").alias("doc_id"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from marlstone.session import stack
@@ -101,7 +101,7 @@ def files_below(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
     )
 
 
-def first_rows_per_file(df: DataFrame, limit: int | None = None, file: str = "_file", at: str = "_at") -> DataFrame:
+def first_rows_per_file(df: DataFrame, limit: int | None = None, file: str = "_file", at: Column | str = "_at") -> DataFrame:
     """The first ``limit`` rows of each file in reading order; ``None`` keeps all rows."""
     if limit is None:
         return df

@@ -157,3 +157,32 @@ def test_models(spark):
     assert seeds.asset_classes(spark).count() == 7
     for name in ("dim_funds", "fact_transactions", "mart_rag_corpus"):
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_first_rows_are_read_from_parts_of_bounded_size(spark, tmp_path):
+    """Every task of the copy and of the reading has its own range of rows; before, a language was one file."""
+    from marlstone.catalog import files
+    docs = spark.range(4000).selectExpr("id as doc_id", "concat('text ', id, '\n', repeat('x', 50)) as text",
+                                        "if(id % 4 = 3, 'fr', 'en') as lang", "'s' as source")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted((r.lang, r.row, r.doc_id) for r in files.first_csv_rows(spark, str(tmp_path)).collect())
+    assert got == [("en", 0, 0), ("en", 1, 1), ("en", 2, 2), ("fr", 0, 3), ("fr", 1, 7), ("fr", 2, 11)]
+    kept = docs.repartitionByRange(4, "lang", "doc_id").sortWithinPartitions("lang", "doc_id")
+    path = files._write_csv(kept, str(tmp_path / "parts"), "lang")
+    assert len(os.listdir(os.path.join(path, "lang=en"))) > 2
+
+
+def test_arrivals_are_as_many_files_as_their_rows_come_in(spark, tmp_path):
+    """Two halves and a second version, each one micro-batch; before, a half was one file."""
+    from marlstone.catalog import streams
+    rows = [(i, f"text {i}" + (" License" if i % 5 == 0 else "")) for i in range(40)] + [(None, "lost")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(6).write.parquet(str(tmp_path / "documents.parquet"))
+    repartitioned = []
+    real = type(spark.range(1)).repartition
+    type(spark.range(1)).repartition = lambda self, *a: repartitioned.append(a) or real(self, *a)
+    try:
+        index = streams.incremental_index(spark, str(tmp_path)).collect()
+    finally:
+        type(spark.range(1)).repartition = real
+    assert not repartitioned
+    assert sorted((r.doc_id, r.version) for r in index) == [(i, 2 if i % 5 == 0 else 1) for i in range(40)]
