@@ -24,8 +24,11 @@ from marlstone.session import stack
 
 # Most query vectors that are sent to every task; larger query tables are joined.
 QUERY_BLOCK = 4096
-# Corpus rows per tile when both sides are large.
-TILE_ROWS = 20_000
+# When both sides are large: corpus rows per tile, and query vectors per block that meets it. Every row is sent to each
+# block and every query to each tile, so these are as large as a task holds with ease (100 MB at 64 places).
+TILE_ROWS, TILE_QUERIES = 200_000, 32_768
+# Smaller tiles than that are cut for the sake of idle cores, but none below this size.
+LEAST_ROWS = 20_000
 
 
 def _matrix(lists: pa.Array) -> np.ndarray:
@@ -84,8 +87,10 @@ def _tiled_search(rows: DataFrame, asked: DataFrame, schema: T.StructType, k: in
                   skip_self: bool) -> DataFrame:
     """Both sides large: tiles of the corpus meet blocks of the queries, ``k`` rows per query leave each meeting."""
     id_col = schema.names[1]
-    tiles = max(1, -(-rows.count() // TILE_ROWS))
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    n = rows.count()
+    blocks = max(1, -(-asked.count() // TILE_QUERIES))
+    wanted = -(-2 * rows.sparkSession.sparkContext.defaultParallelism // blocks)
+    tiles = max(1, -(-n // TILE_ROWS), min(-(-n // min(LEAST_ROWS, TILE_ROWS)), wanted))
     place = ["_tile", "_block"]
     left = rows.withColumn("_tile", F.pmod(F.xxhash64(id_col), F.lit(tiles))).withColumn(
         "_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
