@@ -75,8 +75,13 @@ class Cache:
         try:
             return b"".join(map(self.young.__getitem__, keys))
         except KeyError:
-            known = {key: self.get(key) for key in set(keys).difference(self.young)}
-            return b"".join([known.get(key) or self.get(key) for key in keys])
+            if len(self.young) > CACHED_WORDS:
+                self.young, self.old = {}, self.young
+            young, old = self.young, self.old
+            for key in set(keys).difference(young):
+                found = old.get(key)
+                young[key] = self.code(key) if found is None else found
+            return b"".join(map(young.__getitem__, keys))
 
 
 class Encoder:

@@ -81,3 +81,16 @@ def test_documents(spark, library):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     got = sorted(map(tuple, tokens.write_and_read(docs, PATH).collect()))
     assert got == sorted(expected(library, [(r.doc_id, r.text) for r in docs.collect()]))
+
+
+def test_an_unknown_word_costs_no_look_at_the_known_ones():
+    """A text with one new word codes that word alone; the others come from the cache in one go."""
+    from marlstone.llm import tokens
+    coded = []
+    cache = tokens.Cache(lambda w: coded.append(w) or w.encode())
+    looked = []
+    get = cache.get
+    cache.get = lambda key: looked.append(key) or get(key)
+    assert cache.join(["a", "b", "a", ""]) == b"aba"
+    assert cache.join(["a", "c", "b", ""]) == b"acb"
+    assert sorted(coded) == ["", "a", "b", "c"] and not looked
