@@ -36,3 +36,16 @@ def test_odd_texts(spark):
         assert rows(got) == rows(lexical.bm25_search(docs, asked, 2))
     assert block_index.search(block_index.build(docs.limit(0)), asked, 2).collect() == []
     assert block_index.search(block_index.build(docs), asked.limit(0), 2).collect() == []
+
+
+def test_a_bounded_batch_is_scored_in_tasks_and_repeated_ids_by_joins(spark):
+    docs = spark.createDataFrame([(i, f"a b{i % 3} " + "c " * (i % 5)) for i in range(60)], "chunk_id long, content string")
+    asked = spark.createDataFrame([(1, "a c"), (2, "b1 b1"), (3, "zzz")], "query_id long, text string")
+    search = Search(block_index.build(docs, block_bits=2), asked, 4)
+    assert "MapInArrow" in search.hits._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(search.hits) == rows(lexical.bm25_search(docs, asked, 4))
+    twice = docs.union(docs.limit(7)).union(spark.createDataFrame([(None, "a c")], docs.schema))
+    got = Search(block_index.build(twice, block_bits=20), asked, 70).hits
+    plain = lexical.bm25_scores(lexical.lexical_index(twice), asked)
+    assert {(r.query_id, r.chunk_id): round(r.score, 6) for r in got.collect()} == {
+        (r.query_id, r.chunk_id): round(r.score, 6) for r in plain.collect()}
