@@ -42,7 +42,8 @@ END_ID = 1
 BITS, LOW = 20, np.uint64(1 << 31)  # frequencies add up to 2**BITS; states lie in [LOW, LOW * 2**32)
 LANES, BLOCK = 128, 32768
 FRAME_TOKENS = 16 * BLOCK
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000  # of a generation; words and pieces share it
+AT_ONCE = 256  # texts a worker holds the ids of
 HEAD, CHECKPOINT = "<4sIHI", np.dtype([("token", "<u8"), ("word", "<u8"), ("crc", "<u4")])
 
 # How the tokenizer file cuts text into pieces, each coded by itself: in the characters below
@@ -64,14 +65,11 @@ class Cache:
         found = self.young.get(key)
         if found is None:
             found = self.old.get(key)
-            if found is None:
-                found = self.code(key)
-            if len(self.young) > CACHED_WORDS:
-                self.young, self.old = {}, self.young
-            self.young[key] = found
+            self.young[key] = found = self.code(key) if found is None else found
         return found
 
     def join(self, keys: list[str]) -> bytes:
+        """The ids of all keys. Generations change between texts only, so ``code`` may ask for parts of a key by ``get``."""
         try:
             return b"".join(map(self.young.__getitem__, keys))
         except KeyError:
@@ -85,7 +83,7 @@ class Cache:
 
 
 class Encoder:
-    """Ids of whole texts by a tokenizer file; words and pieces that were coded before come from bounded caches."""
+    """Ids of whole texts by a tokenizer file; words and pieces that were coded before come from one bounded cache."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -98,15 +96,14 @@ class Encoder:
         # Byte-level models name a byte by a visible character: itself, or the next one from 256 on.
         hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
         self.shown = {b: 256 + i for i, b in enumerate(hidden)}
-        self.coded_pieces = Cache(self._piece)
-        self.coded_words = Cache(self._word)
+        self.coded = Cache(self._word)  # a piece is a word of one piece
 
     def _bytes(self, encoding) -> bytes:
         return array(self.type.char, encoding.ids).tobytes()
 
     def _word(self, word: str) -> bytes:
         pieces = self.pieces(word)
-        return self.coded_pieces.get(pieces[0]) if len(pieces) == 1 else b"".join(map(self.coded_pieces.get, pieces))
+        return self._piece(pieces[0]) if len(pieces) == 1 else b"".join(map(self.coded.get, pieces))
 
     def _piece(self, piece: str) -> bytes:
         shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.shown)
@@ -119,7 +116,7 @@ class Encoder:
             return b""
         if self.other(text):
             return self._bytes(self.tokenizer.encode(text, add_special_tokens=False))
-        return self.coded_words.join(text.lower().split())  # no piece holds a blank
+        return self.coded.join(text.lower().split())  # no piece holds a blank
 
 
 @lru_cache(maxsize=2)
@@ -256,19 +253,20 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFram
         end = np.array([end_id], dtype=own.type).tobytes()
         counts, id_type = np.zeros(vocabulary(own, end_id), dtype="<i8"), None
         for part in parts:
-            gc.disable()  # strings and bytes have no cycles, and looking for them takes a fifth of the time
-            try:
-                raw = [own.encode(t.as_py()) + end for t in part.column(1)]
-            finally:
-                gc.enable()
-            for at in range(0, len(raw), 1024):
-                counts += np.bincount(np.frombuffer(b"".join(raw[at:at + 1024]), own.type), minlength=len(counts))
-            crcs = [zlib.crc32(np.frombuffer(r, own.type).astype("<u4").tobytes()) for r in raw]
             id_type = part.column(0).type
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(r) // own.type.itemsize for r in raw], pa.int64()),
-                 pa.array(crcs, pa.int64()), pa.array(list(map(squeeze.compress, raw)), pa.binary()), pa.nulls(len(raw), pa.binary())],
-                names=names)
+            for at in range(0, part.num_rows, AT_ONCE):
+                some = part.slice(at, AT_ONCE)
+                gc.disable()  # strings and bytes have no cycles, and looking for them takes a fifth of the time
+                try:
+                    raw = [own.encode(t.as_py()) + end for t in some.column(1)]
+                finally:
+                    gc.enable()
+                counts += np.bincount(np.frombuffer(b"".join(raw), own.type), minlength=len(counts))
+                crcs = [zlib.crc32(np.frombuffer(r, own.type).astype("<u4").tobytes()) for r in raw]
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), pa.array([len(r) // own.type.itemsize for r in raw], pa.int64()),
+                     pa.array(crcs, pa.int64()), pa.array(list(map(squeeze.compress, raw)), pa.binary()), pa.nulls(len(raw), pa.binary())],
+                    names=names)
         if id_type is not None:
             yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
                                               pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())], names=names)
