@@ -14,7 +14,7 @@ from marlstone.functions import text as tx
 from marlstone.operators import entities
 from marlstone.operators import graph as g
 from marlstone.plans.assistant import graph_context
-from marlstone.session import stack
+from marlstone.session import dealt, stack
 
 
 def nodes(spark, sf) -> DataFrame:
@@ -38,7 +38,7 @@ def _edge(df: DataFrame, src: Column, rel: str, dst: Column) -> DataFrame:
 
 def edges(spark, sf) -> DataFrame:
     t = lambda n: table(spark, sf, n)
-    supplies = t("lineitem").select("l_suppkey", "l_partkey").distinct()
+    supplies = dealt(t("lineitem").select("l_suppkey", "l_partkey"), "l_suppkey", "l_partkey").distinct()
     return stack(*[
         _edge(t("nation"), _key("Region", "n_regionkey"), "CONTAINS", _key("Nation", "n_nationkey")),
         _edge(t("supplier"), _key("Nation", "s_nationkey"), "HOSTS", _key("Supplier", "s_suppkey")),

@@ -205,12 +205,13 @@ def co_references(edges: DataFrame, requirement_key: str, refers: str = "REFEREN
     """``(a1, c, a2, r)``: other sources that point to a concept of a source that requires ``r``.
 
     Starts from the one requirement, so only its own sources and their concepts
-    are widened; every returned row is an answer row.
+    are widened; every returned row is an answer row. Those concepts are looked up
+    by hash, so the edges that meet them are not sorted.
     """
     ref = edges.filter(F.col("rel") == refers)
     a2 = edges.filter((F.col("rel") == requires) & (F.col("dst") == requirement_key)).select(
         F.col("src").alias("a2"), F.col("dst").alias("r"))
-    concepts = ref.join(a2, ref.src == a2.a2).select("a2", "r", F.col("dst").alias("c"))
+    concepts = ref.join(a2, ref.src == a2.a2).select("a2", "r", F.col("dst").alias("c")).hint("shuffle_hash")
     return ref.select(F.col("src").alias("a1"), F.col("dst").alias("c")).join(concepts, "c").filter(
         F.col("a1") != F.col("a2")).select("a1", "c", "a2", "r")
 

@@ -125,3 +125,16 @@ def test_path_of_forty_hops(spark):
                                   "node_key string, label string, id string, name string, props map<string,string>")
     edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}", "R") for i in range(40)], "src string, dst string, rel string")
     assert g.shortest_path(nodes, edges, "n0", "n40").first()["hops"] == 40
+
+
+def test_pairs_are_dealt_to_tasks_of_bounded_size(spark):
+    from marlstone.session import dealt
+    pairs = spark.range(0, 6000, 1, 2).selectExpr("id % 50 as a", "if(id % 7 = 0, null, id % 1000) as b")
+    out = dealt(pairs, "a", "b", rows=100)
+    assert out.rdd.getNumPartitions() == 60
+    assert sorted(map(repr, out.distinct().collect())) == sorted(map(repr, pairs.distinct().collect()))
+
+
+def test_coreferences_are_not_sorted(graph):
+    plan = g.co_references(graph[1], "Requirement:q1")._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan
