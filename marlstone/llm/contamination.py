@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marlstone.llm.common import byte_words, hashed
-from marlstone.session import stack, staged
+from marlstone.session import bounded_batches, stack, staged
 
 # A passage of 15 words with any two substituted is met by at least one of these (a test tries all).
 MASKS = ("11011111", "1100011111", "110100011011")
@@ -167,6 +167,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOC
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=schema.names)
         return docs.select("doc_id", "text").mapInArrow(run, schema)
 
+    bounded_batches(docs.sparkSession)
     found = [scan(b) for b in blocks(benchmark, block_words)]
     rows = stack(*found) if found else docs.sparkSession.createDataFrame([], schema)
     best = F.max(F.struct("matched", (-F.col("length")).alias("length"), (-F.col("start")).alias("start"),
@@ -185,6 +186,7 @@ def without_overlaps(docs: DataFrame, benchmark: DataFrame, block_words: int = B
                 yield part.filter(pa.array(clean, pa.bool_()))
         return run
 
+    bounded_batches(docs.sparkSession)
     for block in blocks(benchmark, block_words):
         docs = docs.mapInArrow(keep(block, docs.columns.index("text")), docs.schema)
     return docs

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.llm.common import fold, join_safe
-from marlstone.session import staged
+from marlstone.session import bounded_batches, staged
 
 DIM, ORDERS = 4096, (1, 2, 3, 4)
 SAMPLE = 4000  # labelled documents that the machines are fitted on, at most
@@ -197,6 +197,7 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id") -> Data
     Other columns are ignored, repeated rows give repeated results, an empty table
     none. A model of no training rows predicts ``und``.
     """
+    bounded_batches(docs.sparkSession)
     schema = docs.select(key).schema.add("lang_pred", "string").add("score", "double")
 
     def run(parts):
@@ -224,6 +225,7 @@ def in_a_language(docs: DataFrame, model: LanguageModel, least: float = 0.0) ->
 
     Where no language could be learned, every document with a letter stays.
     """
+    bounded_batches(docs.sparkSession)
     at = docs.columns.index("text")
 
     def run(parts):

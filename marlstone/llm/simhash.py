@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from marlstone.llm import golay
 from marlstone.llm.common import byte_words, hashed, join_safe, shingles, text_key
 from marlstone.llm.components import components
-from marlstone.session import stack, staged
+from marlstone.session import bounded_batches, stack, staged
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and number of bits
 PAIRED = 64  # larger keys are linked by the exact linear way
@@ -48,6 +48,7 @@ def _majority(hashes: np.ndarray) -> int:
 
 def fingerprints(docs: DataFrame, size: int = 3, key: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``key`` columns, ``fingerprint`` (long) and ``n_shingles`` of every text; a null text has no words."""
+    bounded_batches(docs.sparkSession)
     kept = docs.select(*key, "text")
     schema = kept.drop("text").schema.add("fingerprint", "long").add("n_shingles", "long")
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.llm.common import tasks_of
-from marlstone.session import shared_folder, staged
+from marlstone.session import bounded_batches, shared_folder, staged
 
 END_ID = 1
 BITS, LOW = 20, np.uint64(1 << 31)  # frequencies add up to 2**BITS; states lie in [LOW, LOW * 2**32)
@@ -242,6 +242,7 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFram
     ``ids`` is zstandard over fixed-width values, the end id last. The row of a task has
     ``counts`` only: how often it met each id of the vocabulary, as longs.
     """
+    bounded_batches(docs.sparkSession)
     schema = docs.select("doc_id").schema.add("n_tokens", "long").add("crc", "long").add("ids", "binary").add("counts", "binary")
     names = schema.names
 

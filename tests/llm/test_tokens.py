@@ -94,3 +94,29 @@ def test_an_unknown_word_costs_no_look_at_the_known_ones():
     assert cache.join(["a", "b", "a", ""]) == b"aba"
     assert cache.join(["a", "c", "b", ""]) == b"acb"
     assert sorted(coded) == ["", "a", "b", "c"] and not looked
+
+
+def test_a_worker_holds_each_string_once_in_two_generations(spark, library, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED_WORDS", 50)
+    own = tokens.Encoder(PATH)
+    texts = [f"only{'abcdefghij'[i % 10]}{chr(97 + i // 26)}{chr(97 + i % 26)}, word{i}" for i in range(600)]
+    for text, found in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(own.encode(text), own.type).tolist() == found.ids
+    caches = [c for c in vars(own).values() if isinstance(c, tokens.Cache)]
+    assert sum(len(c.young) + len(c.old) for c in caches) <= 2 * (50 + 10)  # a text adds no more than ten
+
+
+def test_texts_are_coded_a_few_at_a_time(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(0, 700, 1, 1).select(F.expr("nullif(id, -1) as doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+
+    def sizes(parts):
+        import pyarrow as pa
+        for part in parts:
+            yield pa.record_batch([pa.array([part.num_rows])], names=["n"])
+
+    whole = docs.select("doc_id", F.repeat(F.lit("word "), 4000).alias("text"))  # 14 MB
+    assert tokens.token_ids(docs, PATH).where("counts is null").count() == 700
+    got = [r.n for r in whole.mapInArrow(sizes, "n long").collect()]
+    assert sum(got) == 700 and max(got) < 400
