@@ -20,6 +20,7 @@ blocks of a frame are coded side by side as one array.
 
 from __future__ import annotations
 
+import codecs
 import gc
 import os
 import re
@@ -50,7 +51,19 @@ HEAD, CHECKPOINT = "<4sIHI", np.dtype([("token", "<u8"), ("word", "<u8"), ("crc"
 # this pattern finds what the file's own (letters, single digits, the rest) finds.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+"
 # Texts with other characters, or with the name of a special token, go through the library whole.
-OTHER = r"[^\t\n\r -~¡-±´-¸º»¿-įı-ɏ]|<\|(?:start|end)oftext\|>"
+OTHER, SPECIAL = r"[^\t\n\r -~¡-±´-¸º»¿-įı-ɏ]", r"<\|(?:start|end)oftext\|>"
+
+
+class Generation(dict):
+    """The ids of strings by string; one that is new comes from the generation before, or is coded."""
+
+    def __init__(self, code, before: dict[str, bytes]):
+        self.code, self.before = code, before
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.before.get(key)
+        self[key] = found = self.code(key) if found is None else found
+        return found
 
 
 class Cache:
@@ -58,28 +71,18 @@ class Cache:
 
     def __init__(self, code):
         self.code = code
-        self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.young = Generation(code, self.old)
 
     def get(self, key: str) -> bytes:
-        found = self.young.get(key)
-        if found is None:
-            found = self.old.get(key)
-            self.young[key] = found = self.code(key) if found is None else found
-        return found
+        return self.young[key]
 
     def join(self, keys: list[str]) -> bytes:
         """The ids of all keys. Generations change between texts only, so ``code`` may ask for parts of a key by ``get``."""
-        try:
-            return b"".join(map(self.young.__getitem__, keys))
-        except KeyError:
-            if len(self.young) > CACHED_WORDS:
-                self.young, self.old = {}, self.young
-            young, old = self.young, self.old
-            for key in set(keys).difference(young):
-                found = old.get(key)
-                young[key] = self.code(key) if found is None else found
-            return b"".join(map(young.__getitem__, keys))
+        if len(self.young) > CACHED_WORDS:
+            self.old, self.young.before = self.young, {}
+            self.young = Generation(self.code, self.old)
+        return b"".join(map(self.young.__getitem__, keys))
 
 
 class Encoder:
@@ -92,29 +95,34 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.pieces = re.compile(PIECE).findall
-        self.other = re.compile(OTHER).search
+        self.other, self.special = re.compile(OTHER).search, re.compile(SPECIAL).search
         # Byte-level models name a byte by a visible character: itself, or the next one from 256 on.
         hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
-        self.shown = {b: 256 + i for i, b in enumerate(hidden)}
+        shown = {b: 256 + i for i, b in enumerate(hidden)}
+        self.shown = "".join(chr(shown.get(b, b)) for b in range(256))
+        self.tokens = self.tokenizer.model.tokenize
         self.coded = Cache(self._word)  # a piece is a word of one piece
 
     def _bytes(self, encoding) -> bytes:
         return array(self.type.char, encoding.ids).tobytes()
 
     def _word(self, word: str) -> bytes:
+        if word.isalpha():
+            return self._piece(word)
+        if word[:-1].isalpha():  # letters and one mark or digit
+            return self.coded.get(word[:-1]) + self.coded.get(word[-1])
         pieces = self.pieces(word)
         return self._piece(pieces[0]) if len(pieces) == 1 else b"".join(map(self.coded.get, pieces))
 
     def _piece(self, piece: str) -> bytes:
-        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.shown)
-        ids = [t.id for t in self.tokenizer.model.tokenize(shown)]
-        return array(self.type.char, ids).tobytes()
+        shown = piece if piece.isascii() else codecs.charmap_decode(piece.encode(), "strict", self.shown)[0]
+        return array(self.type.char, [t.id for t in self.tokens(shown)]).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian values of ``self.type``, without the end id."""
         if not text:
             return b""
-        if self.other(text):
+        if self.other(text) or "<|" in text and self.special(text):
             return self._bytes(self.tokenizer.encode(text, add_special_tokens=False))
         return self.coded.join(text.lower().split())  # no piece holds a blank
 

@@ -120,3 +120,24 @@ def test_texts_are_coded_a_few_at_a_time(spark):
     assert tokens.token_ids(docs, PATH).where("counts is null").count() == 700
     got = [r.n for r in whole.mapInArrow(sizes, "n long").collect()]
     assert sum(got) == 700 and max(got) < 400
+
+
+def test_each_word_of_a_text_is_looked_up_once_also_beside_a_new_one():
+    looked = []
+
+    class Word(str):
+        def __hash__(self):
+            looked.append(str(self))
+            return str.__hash__(self)
+
+    cache = tokens.Cache(lambda w: w.encode())
+    assert cache.join(["a", "b"]) == b"ab"
+    assert cache.join([Word("a"), Word("b"), "new"]) == b"abnew"
+    assert looked == ["a", "b"]
+
+
+def test_words_with_a_mark_or_digit_at_their_end(library):
+    own = tokens.Encoder(PATH)
+    for word in ("it'", "it's", "word.", "été,", "x1", "x_", "a", ".", "1", "''", "don't.", "naïve!!", "ªº", "ǆ-", "a­", "a<|", "<|x|>"):
+        for text in (word, f"{word} {word}"):
+            assert np.frombuffer(own.encode(text), own.type).tolist() == library.encode(text, add_special_tokens=False).ids
