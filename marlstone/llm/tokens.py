@@ -23,16 +23,18 @@ from __future__ import annotations
 import codecs
 import gc
 import os
-import re
 import struct
 import uuid
 import zlib
 from array import array
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import lru_cache
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,13 +45,14 @@ END_ID = 1
 BITS, LOW = 20, np.uint64(1 << 31)  # frequencies add up to 2**BITS; states lie in [LOW, LOW * 2**32)
 LANES, BLOCK = 128, 32768
 FRAME_TOKENS = 16 * BLOCK
-CACHED_WORDS = 300_000  # of a generation; words and pieces share it
-AT_ONCE = 256  # texts a worker holds the ids of
+CACHED_WORDS = 300_000  # pieces of a generation
+AT_ONCE = 1024  # texts a worker holds the words and ids of
+ID = attrgetter("id")
 HEAD, CHECKPOINT = "<4sIHI", np.dtype([("token", "<u8"), ("word", "<u8"), ("crc", "<u4")])
 
 # How the tokenizer file cuts text into pieces, each coded by itself: in the characters below
 # this pattern finds what the file's own (letters, single digits, the rest) finds.
-PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+"
+PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\d|[^\p{L}\d\s]+"
 # Texts with other characters, or with the name of a special token, go through the library whole.
 OTHER, SPECIAL = r"[^\t\n\r -~¡-±´-¸º»¿-įı-ɏ]", r"<\|(?:start|end)oftext\|>"
 
@@ -77,16 +80,19 @@ class Cache:
     def get(self, key: str) -> bytes:
         return self.young[key]
 
-    def join(self, keys: list[str]) -> bytes:
-        """The ids of all keys. Generations change between texts only, so ``code`` may ask for parts of a key by ``get``."""
+    def each(self, keys: Iterable[str]) -> list[bytes]:
+        """The ids of every key. Generations change between calls only, so ``code`` may ask for parts of a key by ``get``."""
         if len(self.young) > CACHED_WORDS:
             self.old, self.young.before = self.young, {}
             self.young = Generation(self.code, self.old)
-        return b"".join(map(self.young.__getitem__, keys))
+        return list(map(self.young.__getitem__, keys))
+
+    def join(self, keys: Iterable[str]) -> bytes:
+        return b"".join(self.each(keys))
 
 
 class Encoder:
-    """Ids of whole texts by a tokenizer file; words and pieces that were coded before come from one bounded cache."""
+    """Ids of whole texts by a tokenizer file; pieces that were coded before come from a bounded cache."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -94,37 +100,51 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.pieces = re.compile(PIECE).findall
-        self.other, self.special = re.compile(OTHER).search, re.compile(SPECIAL).search
         # Byte-level models name a byte by a visible character: itself, or the next one from 256 on.
         hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
         shown = {b: 256 + i for i, b in enumerate(hidden)}
         self.shown = "".join(chr(shown.get(b, b)) for b in range(256))
         self.tokens = self.tokenizer.model.tokenize
-        self.coded = Cache(self._word)  # a piece is a word of one piece
+        self.coded = Cache(self._piece)
 
     def _bytes(self, encoding) -> bytes:
         return array(self.type.char, encoding.ids).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        if word.isalpha():
-            return self._piece(word)
-        if word[:-1].isalpha():  # letters and one mark or digit
-            return self.coded.get(word[:-1]) + self.coded.get(word[-1])
-        pieces = self.pieces(word)
-        return self._piece(pieces[0]) if len(pieces) == 1 else b"".join(map(self.coded.get, pieces))
-
     def _piece(self, piece: str) -> bytes:
         shown = piece if piece.isascii() else codecs.charmap_decode(piece.encode(), "strict", self.shown)[0]
-        return array(self.type.char, [t.id for t in self.tokens(shown)]).tobytes()
+        return array(self.type.char, list(map(ID, self.tokens(shown)))).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian values of ``self.type``, without the end id."""
-        if not text:
-            return b""
-        if self.other(text) or "<|" in text and self.special(text):
-            return self._bytes(self.tokenizer.encode(text, add_special_tokens=False))
-        return self.coded.join(text.lower().split())  # no piece holds a blank
+        return self.encode_all(pa.array([text], pa.string()))[0]
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """``encode`` of every text. A word is cut into pieces, and a piece looked up, once for all texts."""
+        whole = pc.match_substring_regex(texts, f"{OTHER}|{SPECIAL}").to_pylist()
+        known = [t or "" for t in texts.to_pylist()]
+        words, said = _distinct(pa.array(["" if w else t.lower() for t, w in zip(known, whole)], pa.large_string()))
+        mixed = pc.match_substring_regex(said.dictionary, r"\P{L}")  # words of letters are pieces, and no piece holds a blank
+        apart = pc.replace_substring_regex(said.dictionary.filter(mixed), PIECE, r"\0 ")
+        pieces, held = _distinct(pc.replace_with_mask(said.dictionary, mixed, apart))
+        coded = self.coded.each(held.dictionary.to_numpy(zero_copy_only=False))
+        ends = np.cumsum(np.fromiter(map(len, [b"", *coded]), np.int64)) // self.type.itemsize
+        ids = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), self.type)))
+        ids = _joined(_joined(ids, held.indices, pieces), said.indices, words)
+        flat, at = ids.values.to_numpy(), ids.offsets.to_numpy()
+        return [self._bytes(self.tokenizer.encode(t, add_special_tokens=False)) if w else flat[a:b].tobytes()
+                for t, w, a, b in zip(known, whole, at, at[1:])]
+
+
+def _distinct(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """Where the strings between the blanks of each text begin among all of them, and these strings."""
+    cut = pc.ascii_split_whitespace(texts)
+    return cut.offsets.to_numpy(), cut.flatten().dictionary_encode()
+
+
+def _joined(ids: pa.LargeListArray, places: pa.Array, begin: np.ndarray) -> pa.LargeListArray:
+    """The ids at ``places``, those from one of ``begin`` to the next as one list."""
+    taken = ids.take(places)
+    return pa.LargeListArray.from_arrays(pa.array(taken.offsets.to_numpy()[begin]), taken.flatten())
 
 
 @lru_cache(maxsize=2)
@@ -267,7 +287,7 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFram
                 some = part.slice(at, AT_ONCE)
                 gc.disable()  # strings and bytes have no cycles, and looking for them takes a fifth of the time
                 try:
-                    raw = [own.encode(t.as_py()) + end for t in some.column(1)]
+                    raw = [r + end for r in own.encode_all(some.column(1))]
                 finally:
                     gc.enable()
                 counts += np.bincount(np.frombuffer(b"".join(raw), own.type), minlength=len(counts))

@@ -141,3 +141,25 @@ def test_words_with_a_mark_or_digit_at_their_end(library):
     for word in ("it'", "it's", "word.", "été,", "x1", "x_", "a", ".", "1", "''", "don't.", "naïve!!", "ªº", "ǆ-", "a­", "a<|", "<|x|>"):
         for text in (word, f"{word} {word}"):
             assert np.frombuffer(own.encode(text), own.type).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_a_piece_that_many_texts_say_is_looked_up_once_for_all_of_them(library):
+    import pyarrow as pa
+
+    own = tokens.Encoder(PATH)
+    looked, each = [], own.coded.each
+    own.coded.each = lambda keys: looked.extend(keys) or each(keys)
+    texts = ["Some words, some", None, "", " words\tsome words!", "it's some", "日本 some"] * 20
+    got = [np.frombuffer(r, own.type).tolist() for r in own.encode_all(pa.array(["skipped", *texts]).slice(1))]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert sorted(k for k in looked if k) == sorted({"some", "words", ",", "!", "it", "'s"})
+    assert own.encode_all(pa.array([], pa.string())) == [] and own.encode_all(pa.array([None, "", " "], pa.string())) == [b""] * 3
+
+
+def test_every_character_is_cut_as_the_library_cuts_it_beside_others(library):
+    import pyarrow as pa
+
+    own = tokens.Encoder(PATH)
+    texts = [t for c in map(chr, range(1, 0x251)) for t in (f"a{c}b 1{c}2 !{c}? _{c}_ '{c} {c}'s {c}", f"é{c}{c}", f"{c}'ll{c}")]
+    for text, got in zip(texts, own.encode_all(pa.array(texts))):
+        assert np.frombuffer(got, own.type).tolist() == library.encode(text, add_special_tokens=False).ids, text
