@@ -1,12 +1,12 @@
 """Exact nearest neighbours by dot product or cosine.
 
-A task multiplies its Arrow batches with the query vectors; see ``scan``. Scores are rounded to 9 digits before ranking: equal vectors must tie although
-the last bits of a matrix product depend on the place inside the batch.
+A task multiplies its Arrow batches with the query vectors and keeps ``k`` rows per query. Scores are rounded to 9 digits before
+ranking: equal vectors must tie although the last bits of a matrix product depend on the place inside the batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,7 @@ from marlstone.functions import text as tx
 from marlstone.functions import vector as vx
 from marlstone.operators.embedding import Embedder
 from marlstone.operators.ranking import top_k
-from marlstone.operators.scan import NO_SCORE, TopRows, as_ids, hit_schema, scan_top_k
+from marlstone.operators.scan import NO_SCORE, as_ids, hit_schema
 from marlstone.session import stack
 
 # Most query vectors that are sent to every task; larger query tables are joined.
@@ -29,6 +29,9 @@ QUERY_BLOCK = 4096
 TILE_ROWS, TILE_QUERIES = 200_000, 32_768
 # Smaller tiles than that are cut for the sake of idle cores, but none below this size.
 LEAST_ROWS = 20_000
+# Corpus rows made ready at one time inside a task, and the rows and queries of one matrix product (2 MB of scores).
+ROWS_READY, ROWS_AT_ONCE, QUERIES_AT_ONCE = 8192, 256, 1024
+DIGITS = 9
 
 
 def _matrix(lists: pa.Array) -> np.ndarray:
@@ -64,23 +67,98 @@ def nearest(corpus: DataFrame, queries: DataFrame, k: int = 5, *, id_col: str =
         best = _tiled_search(rows, asked, schema, k, metric == "cosine", skip_self)
         return top_k(best, k, F.col("score").desc(), F.col(id_col).asc())
     block = [r for r in block if r["_q"] is not None]
-    score = _scorer(np.array([r["_q"] for r in block], dtype=np.float64), metric == "cosine")
-    return scan_top_k(rows, schema, as_ids([r["query_id"] for r in block]), k,
-                      lambda batch: score(batch.column(1)), skip_self)
+    query_ids, vectors = as_ids([r["query_id"] for r in block]), np.array([r["_q"] for r in block], dtype=np.float64)
+    arrow = to_arrow_schema(schema)
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = NearestRows(query_ids, vectors, k, metric == "cosine", skip_self)
+        for batch in batches:
+            best.offer(as_ids(batch.column(0).to_numpy(zero_copy_only=False)), batch.column(1))
+        yield from best.table(arrow).to_batches()
+
+    return top_k(rows.mapInArrow(scan, schema), k, F.col("score").desc(), F.col(id_col).asc())
+
 
+def _just_below(scores: np.ndarray) -> np.ndarray:
+    """Bounds that no unrounded score stays under if it is rounded to one of ``scores`` or more."""
+    return np.where(np.isinf(scores), scores, scores - 10.0 ** -DIGITS - 1e-15 * np.abs(scores))
 
-def _scorer(queries: np.ndarray, cosine: bool) -> Callable[[pa.Array], np.ndarray]:
-    queries = _unit(queries) if cosine and len(queries) else queries
 
-    def score(vectors: pa.Array) -> np.ndarray:
-        scores = np.full((len(queries), len(vectors)), NO_SCORE)
-        known = vectors.is_valid().to_numpy(zero_copy_only=False)
-        if len(queries) and known.any():
-            matrix = _matrix(vectors.drop_null())
-            scores[:, known] = np.round(queries @ (_unit(matrix) if cosine else matrix).T, 9)
-        return scores
+class NearestRows:
+    """The best ``k`` corpus rows per query vector seen so far; ties go to the smaller id.
 
-    return score
+    All queries are held against a block of rows at once, and only scores that may belong to the
+    best are looked at again, rounded and sorted.
+    """
+
+    def __init__(self, query_ids: np.ndarray, queries: np.ndarray, k: int, cosine: bool, skip_self: bool = False):
+        self.query_ids, self.k, self.cosine, self.skip_self = query_ids, k, cosine, skip_self
+        self.queries = _unit(queries) if cosine and len(queries) else queries
+        self.floor = np.full(len(query_ids), np.finfo(np.float64).min)
+        self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.pending = 0
+        self.order = np.argsort(query_ids, kind="stable") if skip_self else None
+
+    def offer(self, ids: np.ndarray, vectors: pa.Array) -> None:
+        if not len(self.queries):
+            return
+        for at in range(0, len(ids), ROWS_READY):
+            some, names = vectors.slice(at, ROWS_READY), ids[at:at + ROWS_READY]
+            names, matrix = names[some.is_valid().to_numpy(zero_copy_only=False)], _matrix(some.drop_null())
+            matrix = _unit(matrix) if self.cosine and len(matrix) else matrix
+            for low in range(0, len(names), ROWS_AT_ONCE):
+                self._block(names[low:low + ROWS_AT_ONCE], matrix[low:low + ROWS_AT_ONCE])
+
+    def _block(self, ids: np.ndarray, matrix: np.ndarray) -> None:
+        own = self._own(ids) if self.skip_self else None
+        for at in range(0, len(self.queries), QUERIES_AT_ONCE):
+            scores = self.queries[at:at + QUERIES_AT_ONCE] @ matrix.T
+            if own is not None:
+                here = (own[0] >= at) & (own[0] < at + len(scores))
+                scores[own[0][here] - at, own[1][here]] = NO_SCORE
+            floor = self.floor[at:at + QUERIES_AT_ONCE]
+            near = np.nonzero(~(scores.max(axis=1) < floor))[0]  # a score that is no number is looked at below
+            scores, floor = scores[near], floor[near]
+            few = scores >= floor[:, None]
+            if np.count_nonzero(few) > 4 * self.k * len(near) and scores.shape[1] > self.k:
+                line = np.where(np.isnan(scores), NO_SCORE, scores)
+                floor = np.maximum(floor, _just_below(np.partition(line, -self.k, axis=1)[:, -self.k]))
+                few = scores >= floor[:, None]
+            query, row = np.nonzero(few)
+            if len(query):
+                self.found.append((near[query] + at, ids[row], np.round(scores[query, row], DIGITS)))
+                self.pending += len(query)
+        if self.pending > self.k * len(self.queries):
+            self._merge()
+
+    def _own(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Queries and rows of the same id."""
+        known = self.query_ids[self.order]
+        low, high = np.searchsorted(known, ids, "left"), np.searchsorted(known, ids, "right")
+        row = np.repeat(np.arange(len(ids)), high - low)
+        query = self.order[np.arange(len(row)) - np.repeat(np.cumsum(high - low) - high, high - low)]
+        same = self.query_ids[query] == ids[row]
+        return query[same], row[same]
+
+    def _merge(self) -> None:
+        if not self.found:
+            return
+        query, ids, scores = (np.concatenate(c) for c in zip(*self.found))
+        order = np.lexsort((ids, -scores, query))
+        query = query[order]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        kept = order[place < self.k]
+        last = place == self.k - 1
+        self.floor[query[last]] = np.maximum(self.floor[query[last]], _just_below(scores[order[last]]))
+        self.found, self.pending = [(query[place < self.k], ids[kept], scores[kept])], 0
+
+    def table(self, arrow: pa.Schema) -> pa.Table:
+        self._merge()
+        if not self.found:
+            return arrow.empty_table()
+        query, ids, scores = self.found[0]
+        columns = (self.query_ids[query], ids, scores)
+        return pa.table([pa.array(c).cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
 
 def _tiled_search(rows: DataFrame, asked: DataFrame, schema: T.StructType, k: int, cosine: bool,
@@ -102,11 +180,8 @@ def _tiled_search(rows: DataFrame, asked: DataFrame, schema: T.StructType, k: in
         if not corpus_part.num_rows or not query_part.num_rows:
             return arrow.empty_table()
         query_part = query_part.filter(query_part["_q"].is_valid())
-        best = TopRows(as_ids(query_part["query_id"].to_numpy()), k, skip_self)
-        score = _scorer(_matrix(query_part["_q"].combine_chunks()), cosine)
-        ids, vectors = as_ids(corpus_part[id_col].to_numpy()), corpus_part["_v"].combine_chunks()
-        for at in range(0, len(ids), best.step()):
-            best.offer(ids[at:at + best.step()], score(vectors[at:at + best.step()]))
+        best = NearestRows(as_ids(query_part["query_id"].to_numpy()), _matrix(query_part["_q"].combine_chunks()), k, cosine, skip_self)
+        best.offer(as_ids(corpus_part[id_col].to_numpy()), corpus_part["_v"].combine_chunks())
         return best.table(arrow)
 
     return left.groupBy(*place).cogroup(right.groupBy(*place)).applyInArrow(meet, schema)

@@ -1,7 +1,8 @@
 """Text to vectors.
 
 ``HashingEmbedder`` needs no model: each token is hashed to one of ``dim``
-places on the JVM side and NumPy only counts the places of an Arrow batch.
+places and NumPy counts the places. A task cuts some megabytes of whole texts into
+words at a time and hashes each different one once; sentences are hashed on the JVM side.
 ``ModelEmbedder`` puts a given model behind the same interface; the model is
 made once per Python worker and sees whole batches.
 """
@@ -9,9 +10,11 @@ made once per Python worker and sees whole batches.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +25,9 @@ VECTOR = T.ArrayType(T.FloatType())
 SIMILARITIES = T.ArrayType(T.DoubleType())
 # Rows whose places are counted at one time inside a task.
 ROWS_AT_ONCE = 256
+# Bytes of text, beyond a single row, whose words are made distinct at one time inside a task, and their rows times places.
+TEXT_BYTES = 8 << 20
+CELLS = 1 << 20
 
 
 def _unit_rows(matrix: np.ndarray) -> np.ndarray:
@@ -55,6 +61,34 @@ def _neighbours(matrix: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
 
 
+def _word_places(words: pa.Array, dim: int) -> np.ndarray:
+    texts = words.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    digests = b"".join([md5(w).digest() for w in texts])
+    return np.frombuffer(digests, ">u2")[::8].astype(np.int64) % dim
+
+
+def _text_counts(texts: pa.Array, dim: int) -> np.ndarray:
+    """How many words of each text have each place; the blanks are those of the JVM."""
+    words = pc.ascii_split_whitespace(texts)
+    row = np.repeat(np.arange(len(texts)), _lengths(words))
+    coded = words.flatten().dictionary_encode()
+    code = coded.indices.to_numpy(zero_copy_only=False)
+    said = (pc.binary_length(coded.dictionary).to_numpy(zero_copy_only=False) > 0)[code]
+    place = _word_places(coded.dictionary, dim)[code]
+    return np.bincount((row * dim + place)[said], minlength=len(texts) * dim).reshape(len(texts), dim)
+
+
+def _text_parts(texts: pa.Array, rows: int) -> Iterator[pa.Array]:
+    """Slices of at most ``rows`` rows and, beyond a single row, ``TEXT_BYTES``."""
+    ends = np.cumsum(np.nan_to_num(pc.binary_length(texts).to_numpy(zero_copy_only=False)).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        start = ends[at - 1] if at else 0
+        last = max(at + 1, min(at + rows, int(np.searchsorted(ends, start + TEXT_BYTES, "right"))))
+        yield texts.slice(at, last - at)
+        at = last
+
+
 class Embedder:
     """What retrieval and chunking need from a text encoder."""
 
@@ -101,14 +135,18 @@ class HashingEmbedder(Embedder):
         return count
 
     def vector(self, text: Column, normalise: bool = True) -> Column:
-        count = self._counts()
+        dim, weights = self.dim, self.place_weights
 
         @F.arrow_udf(VECTOR)
-        def embed(places: pa.Array) -> pa.Array:
-            matrix = count(places)
+        def embed(texts: pa.Array) -> pa.Array:
+            matrix, at = np.zeros((len(texts), dim)), 0
+            for part in _text_parts(texts, max(ROWS_AT_ONCE, CELLS // dim)):
+                matrix[at:at + len(part)] = _text_counts(part, dim)
+                at += len(part)
+            matrix = matrix if weights is None else matrix * np.asarray(weights)
             return _vectors(_unit_rows(matrix) if normalise else matrix)
 
-        return embed(self.places(text))
+        return embed(F.lower(text))
 
     def neighbour_similarity(self, sentences: Column) -> Column:
         count = self._counts()

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from itertools import count
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions import text as tx
-from marlstone.operators.patterns import contained
+from marlstone.operators.patterns import contained_lists
 from marlstone.operators.ranking import top_k
-from marlstone.session import stack, staged
+from marlstone.session import looked_up, stack, staged
 
 NODE_COLUMNS = ("node_key", "label", "id", "name", "props")
 NODES = "node_key string, label string, id string, name string, props map<string,string>"
@@ -141,20 +141,45 @@ def related_entities(nodes: DataFrame, edges: DataFrame, text: str, limit: int |
     return found if limit is None else found.limit(limit)
 
 
+def _placed(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(node_key, place, asked)``: the keys numbered by name and key, and the texts ``_e`` that their names or ids contain.
+
+    A key that comes more than once has the place of its first name; ``asked`` is null where no text is contained.
+    """
+    names = nodes.select("node_key", F.explode(F.array_compact(F.array(F.lower("name"), F.lower("id")))).alias("_t"))
+    meant = contained_lists(names, ["node_key"], "_t", wanted, "_e")
+    first = F.struct(F.col("name").isNull().alias("none"), "name")
+    rows = stack(nodes.select("node_key", first.alias("first"), F.lit(None).cast("array<string>").alias("_e")),
+                 meant.select("node_key", F.lit(None).cast("struct<none:boolean,name:string>").alias("first"), "_e"))
+    keys = rows.filter(F.col("node_key").isNotNull()).groupBy("node_key").agg(
+        F.min("first").alias("first"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("_e")))).alias("asked"))
+    return keys.orderBy("first", "node_key").select(
+        "node_key", F.monotonically_increasing_id().alias("place"), F.when(F.size("asked") > 0, F.col("asked")).alias("asked"))
+
+
 def related_for_requests(nodes: DataFrame, edges: DataFrame, requests: DataFrame, entity: str = "entity",
                          key: str = "query_id", limit: int = 25) -> DataFrame:
     """For each request: up to ``limit`` neighbours ``name, type, relationship, direction`` with a rank.
 
-    All distinct request texts are searched in each name and id at once.
+    All distinct request texts are searched in each name and id at once. Nodes that contain the same texts are
+    of one kind: an edge is ranked once for its kind, by numbers, and only a kind's first rows are given to each of its texts.
     """
-    wanted = requests.select(F.lower(entity).alias("_e")).distinct()
-    names = nodes.select("node_key", F.explode(F.array_compact(F.array(F.lower("name"), F.lower("id")))).alias("_t"))
-    meant = contained(names, ["node_key"], "_t", wanted, "_e").withColumnRenamed("node_key", "a")
-    near = both_ways(edges).join(meant, "a").join(_ends(nodes, "b", "", "name", "label"), "b")
-    rows = near.select("_e", "name", F.col("label").alias("type"), F.col("rel").alias("relationship"), "direction",
-                       F.col("b").alias("target_key"), F.col("a").alias("source_key"))
-    few = top_k(rows, limit, F.col("relationship"), F.asc_nulls_last("name"), F.col("target_key"),
-                F.col("source_key"), F.col("direction"), per=("_e",))
+    keys = staged(_placed(nodes, requests.select(F.lower(entity).alias("_e")).distinct()))
+    kinds = staged(keys.filter(F.col("asked").isNotNull()).groupBy("asked").agg(F.min("place").alias("kind")))
+    starts = staged(keys.join(kinds, "asked").select(F.col("node_key").alias("a"), F.col("place").alias("source"), "kind"))
+    ends = keys.select(F.col("node_key").alias("b"), F.col("place").alias("target"))
+    near = both_ways(edges).join(looked_up(starts), "a").join(looked_up(ends), "b").select(
+        "kind", F.col("rel").alias("relationship"), "target", "source", "direction")
+    # All rows of the target that fills a kind's list are kept: among them the order of the sources decides.
+    few = staged(near.withColumn("_r", F.rank().over(Window.partitionBy("kind").orderBy("relationship", "target"))).filter(
+        F.col("_r") <= limit).drop("_r"))
+    named = lambda place, c: keys.select(F.col("place").alias(place), F.col("node_key").alias(c))
+    rows = few.join(named("target", "target_key"), "target").join(named("source", "source_key"), "source").join(
+        _ends(nodes, "target_key", "", "name", "label"), "target_key")
+    order = (F.col("relationship"), F.asc_nulls_last("name"), F.col("target_key"), F.col("source_key"), F.col("direction"))
+    rows = top_k(rows, limit, *order, per=("kind",)).join(kinds, "kind").select(
+        F.explode("asked").alias("_e"), "name", F.col("label").alias("type"), "relationship", "direction", "target_key", "source_key")
+    few = top_k(rows, limit, *order, per=("_e",))
     return requests.select(key, F.lower(entity).alias("_e")).join(few, "_e").drop("_e", "source_key")
 
 

@@ -13,7 +13,7 @@ from marlstone.operators.fusion import with_text
 from marlstone.operators.graph import related_for_requests
 from marlstone.plans.medallion import fund_lookup
 from marlstone.plans.retrieval import context_text
-from marlstone.session import stack
+from marlstone.session import stack, staged
 
 
 def routed(messages: DataFrame, routes: cv.Routes = cv.Routes(), text: str = "text") -> DataFrame:
@@ -48,8 +48,11 @@ def fund_context(asked: DataFrame, funds: DataFrame, metrics: DataFrame,
 def answer_messages(messages: DataFrame, *, chunks: DataFrame, embedder: Embedder, nodes: DataFrame,
                     edges: DataFrame, funds: DataFrame, metrics: DataFrame,
                     routes: cv.Routes = cv.Routes()) -> DataFrame:
-    """``(query_id, route, context)`` for messages ``(query_id, text)``."""
-    all_ = routed(messages, routes)
+    """``(query_id, route, context)`` for messages ``(query_id, text)``.
+
+    The routed messages are written first, since every route reads them several times.
+    """
+    all_ = staged(routed(messages, routes))
     of = lambda r: all_.filter(F.col("route") == r)
     label = lambda df, r: df.select("query_id", F.lit(r).alias("route"), "context")
     hits = with_text(vector_search(chunks, of(cv.RAG), embedder, 4), chunks, columns=("content", "source"))

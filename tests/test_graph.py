@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from marlstone.operators import entities as en
@@ -138,3 +140,35 @@ def test_pairs_are_dealt_to_tasks_of_bounded_size(spark):
 def test_coreferences_are_not_sorted(graph):
     plan = g.co_references(graph[1], "Requirement:q1")._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan
+
+
+def test_requests_rank_an_edge_once_for_all_texts(spark, monkeypatch):
+    """Every text is in every name: the nodes are of one kind. Keys repeat or are null, names are null, an edge is a loop, one has no end."""
+    rng = random.Random(5)
+    nodes = [(f"L:{i}", "L", str(i), None if i % 7 == 0 else f"xyz abcdefgh {i % 5}", {}) for i in range(60)]
+    nodes += [("L:3", "M", "3", "Abc", {}), (None, "L", None, None, {}), ("L:77", "L", "77", "other", {})]
+    edges = [(f"L:{rng.randrange(60)}", rng.choice("RST"), f"L:{rng.randrange(60)}") for _ in range(500)]
+    edges += [("L:1", "A", "L:1"), ("L:2", "A", "L:404"), (None, "A", "L:2"), ("L:77", "R", "L:5"), ("L:77", "R", "L:5")]
+    texts = [f"{a}{b}".strip() for a in ("Ab", "bc", "cd") for b in ("", "c", "d", "de")] + ["xyz ABC", "oth", "nothing", "", None, "5"]
+    asked = [(i, t) for i, t in enumerate(texts)]
+    written, keep = [], g.staged
+    monkeypatch.setattr(g, "staged", lambda df: written.append(keep(df)) or written[-1])
+    got = g.related_for_requests(
+        spark.createDataFrame(nodes, g.NODES), spark.createDataFrame(edges, g.EDGES),
+        spark.createDataFrame(asked, "query_id int, entity string"))
+    got = sorted(rows(got, "query_id", "rank", "name", "type", "relationship", "direction", "target_key"))
+    ways = [(s, d, r, "outgoing") for s, r, d in edges] + [(d, s, r, "incoming") for s, r, d in edges if s != d]
+    want = []
+    for q, text in asked:
+        meant = {n[0] for n in nodes if n[0] and text and any(t and text.lower() in t.lower() for t in (n[3], n[2]))}
+        near = [(r, n[3] is None, n[3] or "", b, a, way, n[1]) for a, b, r, way in ways if a in meant for n in nodes if n[0] and n[0] == b]
+        want += [(q, i + 1, None if none else name, label, r, way, b)
+                 for i, (r, none, name, b, a, way, label) in enumerate(sorted(near)[:25])]
+    assert got == sorted(want)
+    assert written and max(df.count() for df in written) <= 400  # 58 nodes hold up to 14 texts each
+
+
+def test_messages_are_routed_once(spark):
+    from marlstone.catalog.conversations import assistant_answers
+    plan = assistant_answers(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "RLIKE" not in plan

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -225,3 +226,41 @@ def test_a_scan_holds_few_entries_at_a_time(monkeypatch):
 def test_large_tables_meet_in_few_tiles(spark):
     """The vectors are copied once per block of 32,768 queries and not once per 4,096."""
     assert dense.TILE_QUERIES >= 8 * dense.QUERY_BLOCK and dense.TILE_ROWS >= 200_000
+
+
+@pytest.mark.parametrize("cosine", [True, False])
+@pytest.mark.parametrize("skip_self", [True, False])
+def test_nearest_rows_equal_a_sort(monkeypatch, cosine, skip_self):
+    """Blocks of a few rows and queries, equal vectors, repeated ids, null vectors and entries that are no numbers."""
+    monkeypatch.setattr(dense, "ROWS_AT_ONCE", 7)
+    monkeypatch.setattr(dense, "QUERIES_AT_ONCE", 3)
+    monkeypatch.setattr(dense, "ROWS_READY", 20)
+    rng = np.random.default_rng(4)
+    vectors = rng.integers(-2, 3, (90, 3)).astype(np.float32)
+    vectors[5, 0] = np.nan
+    asked, ids, query_ids = rng.integers(-2, 3, (11, 3)).astype(float), rng.integers(0, 60, 90), np.arange(11)
+    some = pa.array([None if i % 9 == 0 else v.tolist() for i, v in enumerate(vectors)], pa.list_(pa.float32()))
+    best = dense.NearestRows(query_ids, asked, 4, cosine, skip_self)
+    for at in range(0, 90, 40):
+        best.offer(ids[at:at + 40], some.slice(at, 40))
+    unit = dense._unit if cosine else lambda m: m
+    scores = np.round(unit(asked) @ unit(vectors.astype(float)).T, 9)
+    want = []
+    for q in query_ids:
+        hits = sorted((-scores[q, i], ids[i]) for i in range(90) if i % 9 and i != 5 and not (skip_self and ids[i] == q))
+        want += [(q, i, -s) for s, i in hits[:4]]
+    got = best.table(pa.schema([("query_id", pa.int64()), ("chunk_id", pa.int64()), ("score", pa.float64())]))
+    assert [tuple(r.values()) for r in got.to_pylist()] == want
+
+
+def test_whole_texts_are_hashed_by_different_words(spark):
+    """Their vectors are those of the places counted on the JVM side, at its blanks and in its lower case."""
+    texts = ["a  b a\tA\x0bİΣ ß\x1cq ", " \r\n", "", None, "é\x0cÉ 😀", "x " * 3000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    for weights in (None, [float(i % 5) for i in range(16)]):
+        e = HashingEmbedder(16, weights)
+        got = e.encode(df, "t", normalise=False)
+        assert "md5" not in got._jdf.queryExecution().executedPlan().toString()
+        for r in got.select("t", "embedding", e.places(F.col("t")).alias("p")).collect():
+            counts = np.bincount(r["p"] or [], minlength=16).astype(float)
+            assert r["embedding"] == (counts if weights is None else counts * weights).tolist()
