@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from marlstone.functions import text as tx
 from marlstone.operators.patterns import contained_lists
-from marlstone.operators.ranking import top_k
+from marlstone.operators.ranking import top_k, without_late
 from marlstone.session import looked_up, stack, staged
 
 NODE_COLUMNS = ("node_key", "label", "id", "name", "props")
@@ -171,6 +171,7 @@ def related_for_requests(nodes: DataFrame, edges: DataFrame, requests: DataFrame
     near = both_ways(edges).join(looked_up(starts), "a").join(looked_up(ends), "b").select(
         "kind", F.col("rel").alias("relationship"), "target", "source", "direction")
     # All rows of the target that fills a kind's list are kept: among them the order of the sources decides.
+    near = without_late(near, limit, "kind", "relationship", "target")
     few = staged(near.withColumn("_r", F.rank().over(Window.partitionBy("kind").orderBy("relationship", "target"))).filter(
         F.col("_r") <= limit).drop("_r"))
     named = lambda place, c: keys.select(F.col("place").alias(place), F.col("node_key").alias(c))
